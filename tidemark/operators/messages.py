@@ -120,3 +120,12 @@ def assigned_labels(cleaned: DataFrame, names: list[str]) -> DataFrame:
         display_name("category").alias("display_name"),
         F.coalesce(F.col("value") == 1, F.lit(False)).alias("assigned"),
     )
+
+
+def assigned_from_map(scored: DataFrame, column: str = "labels") -> DataFrame:
+    """The same rows from a map of label name to 0 or 1."""
+    return scored.select("id", F.explode(column).alias("category", "value")).select(
+        "id",
+        display_name("category").alias("display_name"),
+        (F.col("value") == 1).alias("assigned"),
+    )

@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean_text
 from tidemark.functions import split_words as words_of
-from tidemark.operators import activity, explore, messages, prices, quality, split, terms
+from tidemark.operators import (
+    activity,
+    explore,
+    messages,
+    models,
+    multilabel,
+    prices,
+    quality,
+    reports,
+    split,
+    terms,
+)
 from tidemark.operators import quantiles as q
-from tidemark.operators import reports
-from tidemark.plans import churn, roundtrips
-from tidemark.session import configure
+from tidemark.plans import churn, roundtrips, training
+from tidemark.session import configure, scratch_path
 from tidemark.sources import driver_tables as views
 from tidemark.sources.driver_tables import CATEGORY_NAMES, PAGES
 
@@ -557,3 +567,99 @@ def csv_messages_roundtrip(spark, sf_dir):
 @query
 def table_roundtrip(spark, sf_dir):
     return roundtrips.stored_table(cleaned(spark, sf_dir))
+
+
+# --- models -----------------------------------------------------------------
+
+# Small searches for the registered queries; the functions default to the full ones.
+SMALL_SVC_GRID = {"maxIter": [20, 50], "regParam": [0.01, 0.1]}
+SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
+SMALL_FOREST_GRID = [{**SMALL_FOREST, "minInstancesPerNode": least} for least in (2, 3)]
+
+
+def _tuned(spark, sf_dir):
+    return training.tune_churn(feature_table(spark, sf_dir), SMALL_SVC_GRID)
+
+
+def _message_model(spark, sf_dir):
+    return training.saved_message_model(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+
+
+@query
+def compare_models(spark, sf_dir):
+    return training.compare_churn_models(feature_table(spark, sf_dir))
+
+
+@query
+def tune_svc(spark, sf_dir):
+    """Accuracy and F1 of the tuned model on the test users."""
+    run = _tuned(spark, sf_dir)
+    results = run.tuned.transform(run.test).withColumn("model", F.lit("linear_svm"))
+    return reports.accuracy_and_f1(results, ["model"])
+
+
+@query
+def svc_grid_scores(spark, sf_dir):
+    return models.grid_scores(spark, _tuned(spark, sf_dir).tuned)
+
+
+@query
+def svc_best_params(spark, sf_dir):
+    return models.best_parameters(spark, _tuned(spark, sf_dir).tuned)
+
+
+@query
+def svc_coefficients(spark, sf_dir):
+    run = _tuned(spark, sf_dir)
+    return models.coefficients(spark, run.tuned.bestModel.stages[-1], run.inputs)
+
+
+@query
+def churn_scores(spark, sf_dir):
+    """All users scored by the tuned model after saving and loading it."""
+    features = churn.fill_song_measures(feature_table(spark, sf_dir))
+    path = scratch_path(spark, "churn-model")
+    models.save_model(_tuned(spark, sf_dir).model, path)
+    return models.load_model(path).transform(features).select("userId", "label", "prediction")
+
+
+@query
+def message_report(spark, sf_dir):
+    return training.message_report(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+
+
+@query
+def message_report_lemmas(spark, sf_dir):
+    """With lemmas and hashed terms."""
+    return training.message_report(
+        cleaned(spark, sf_dir),
+        CATEGORY_NAMES,
+        SMALL_FOREST,
+        lemmatise=True,
+        features="hashing",
+        num_features=1 << 12,
+    )
+
+
+@query
+def message_grid(spark, sf_dir):
+    _, scores = multilabel.grid_search(
+        cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST_GRID, folds=2
+    )
+    return scores
+
+
+@query
+def score_batch(spark, sf_dir):
+    """All messages scored; one row per message and label with its display name."""
+    model = _message_model(spark, sf_dir)
+    scored = multilabel.score_messages(model, views.messages(spark, sf_dir))
+    return messages.assigned_from_map(scored)
+
+
+@query
+def score_stream(spark, sf_dir):
+    """The documents as a stream of messages, scored in micro-batches."""
+    model = _message_model(spark, sf_dir)
+    stream = views.message_stream(spark, sf_dir)
+    return training.stream_scores(stream, model).drop("message", "original")

@@ -128,6 +128,15 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _message_columns(text: Column) -> list[Column]:
+    return [
+        F.col("doc_id").alias("id"),
+        text.alias("message"),
+        F.lit(None).cast("string").alias("original"),
+        F.col("lang").alias("genre"),
+    ]
+
+
 def messages(spark: SparkSession, sf_dir: str, with_urls: bool = False) -> DataFrame:
     """Documents as messages; ``with_urls`` puts the page address before the text."""
     documents = table(spark, sf_dir, "documents")
@@ -136,12 +145,18 @@ def messages(spark: SparkSession, sf_dir: str, with_urls: bool = False) -> DataF
         pages = table(spark, sf_dir, "pages").select("page_id", "url")
         documents = documents.join(pages, documents.doc_id == pages.page_id, "left")
         text = F.concat_ws(" ", "url", "text")
-    return documents.select(
-        F.col("doc_id").alias("id"),
-        text.alias("message"),
-        F.lit(None).cast("string").alias("original"),
-        F.col("lang").alias("genre"),
+    return documents.select(*_message_columns(text))
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream over the files of ``documents``."""
+    schema = table(spark, sf_dir, "documents").schema
+    documents = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "documents*.parquet")
+        .parquet(sf_dir)
     )
+    return documents.select(*_message_columns(F.col("text")))
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
