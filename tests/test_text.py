@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean_text, drop_stop_words, serving_words, split_words, training_words
 from tidemark.operators import terms
+from tidemark.plans import wording
 
 
 def _one(spark, text, function):
@@ -85,7 +86,7 @@ def test_lemmas_need_a_known_term(spark):
 
 
 def test_lemmatised_lists_keep_order_and_empty_lists(spark):
-    got = dict(rows_of(terms.lemmatise(terms.tokens(_docs(spark))), "id", "tokens"))
+    got = dict(rows_of(wording.lemmatised(terms.tokens(_docs(spark))), "id", "tokens"))
     assert got == {
         0: ["car", "car", "box", "box"],
         1: ["wolves", "lady", "lady", "man"],
@@ -96,14 +97,18 @@ def test_lemmatised_lists_keep_order_and_empty_lists(spark):
 
 def test_serving_lemmas_are_looked_up_before_lower_case(spark):
     docs = spark.createDataFrame([(1, "Cars cars car Car")], "id bigint, message string")
-    words = terms.lemmatise(terms.tokens(docs, profile="serve"), lower_after=True)
+    words = wording.lemmatised(terms.tokens(docs, profile="serve"), lower_after=True)
     assert words.first().tokens == ["car", "car", "car", "car"]
 
 
 def test_tfidf_against_brute_force(spark):
     docs = _docs(spark)
-    counts = terms.term_counts(terms.lemmatised_terms(terms.tokens(docs)))
+    words = terms.tokens(docs)
+    forms = terms.term_counts(terms.exploded(words))
+    counts = terms.lemma_counts(forms, terms.noun_lemmas(forms))
     got = {(r.id, r.term): r.weight for r in terms.tfidf(counts, docs).collect()}
+    stored = {(r.id, r.term): r.weight for r in wording.message_tfidf(words).collect()}
+    assert stored == pytest.approx(got)
     lists = {0: "car car box box", 1: "wolves lady lady man", 3: "man car bus bus"}
     counted = {i: Counter(t.split()) for i, t in lists.items()}
     frequency = Counter(t for c in counted.values() for t in c)

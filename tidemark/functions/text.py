@@ -10,7 +10,7 @@ from tidemark.functions._cols import ColumnLike, as_column
 # The placeholder and the patterns of the message tokeniser.
 URL_PATTERN = "http[^ ]+"
 URL_PLACEHOLDER = "urlplaceholder"
-PUNCTUATION_PATTERN = r"\p{P}+"
+GAP_PATTERN = r"[\p{P}\s\p{Z}]+"
 BLANK_PATTERN = r"[\s\p{Z}]+"
 
 # The English stop words of the NLTK corpus.
@@ -30,33 +30,43 @@ STOP_WORDS = (
 
 # Symbols the word splitter sets apart, and the contractions it
 # divides, as (first half, second half). The last one needs a word after it.
-SPLIT_SYMBOLS = r"(`+|[$<>])"
+SPLIT_SYMBOLS = "`+|[$<>]"
 CONTRACTIONS = [("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me")]
 CONTRACTION_BEFORE_WORD = ("wan", "na")
 
+_WORD_CHARACTER = r"[\p{L}\p{N}_]"
+
+
+def _dividing_pattern() -> str:
+    """A symbol, or the first half of a contraction that stands as a whole word.
+
+    The literal comes before its look-behind, which then runs on few positions.
+    """
+    ends = [(first, f"{second}(?!{_WORD_CHARACTER})") for first, second in CONTRACTIONS]
+    first, second = CONTRACTION_BEFORE_WORD
+    ends.append((first, f"{second} "))
+    halves = [f"{first}(?<!{_WORD_CHARACTER}{first})(?={end})" for first, end in ends]
+    return "|".join([SPLIT_SYMBOLS, *halves])
+
 
 def clean_text(text: ColumnLike) -> Column:
     """Lower case, URLs to a placeholder, no punctuation, single blanks.
 
-    Lower case comes first, so upper-case URLs are found as well.
+    Lower case comes first, so upper-case URLs are found as well. Punctuation
+    and blanks go in one pass, since a run of either ends as one blank.
     """
     cleaned = F.regexp_replace(F.lower(as_column(text)), URL_PATTERN, URL_PLACEHOLDER)
-    cleaned = F.regexp_replace(cleaned, PUNCTUATION_PATTERN, " ")
-    return F.trim(F.regexp_replace(cleaned, BLANK_PATTERN, " "))
+    return F.trim(F.regexp_replace(cleaned, GAP_PATTERN, " "))
 
 
 def split_words(cleaned: ColumnLike) -> Column:
     """Words of clean text: symbols set apart, contractions divided, split on blanks."""
-    words = F.regexp_replace(as_column(cleaned), SPLIT_SYMBOLS, " $1 ")
-    firsts = "|".join(first + second for first, second in CONTRACTIONS)
-    # One look for any contraction; the single replacements run only on a hit.
-    divided = words
-    for first, second in CONTRACTIONS:
-        divided = F.regexp_replace(divided, rf"(?U)\b({first})({second})\b", "$1 $2")
-    first, second = CONTRACTION_BEFORE_WORD
-    divided = F.regexp_replace(divided, rf"(?U)\b({first})({second})(?= )", "$1 $2")
-    words = F.when(words.rlike(f"{firsts}|{first}{second} "), divided).otherwise(words)
-    return F.filter(F.split(words, " +"), lambda word: word != "")
+    return F.filter(_pieces(cleaned), lambda word: word != "")
+
+
+def _pieces(cleaned: ColumnLike) -> Column:
+    divided = F.regexp_replace(as_column(cleaned), _dividing_pattern(), " $0 ")
+    return F.split(divided, " ")
 
 
 def drop_stop_words(words: ColumnLike) -> Column:
@@ -66,7 +76,8 @@ def drop_stop_words(words: ColumnLike) -> Column:
 
 def training_words(text: ColumnLike) -> Column:
     """The whole training tokeniser but for the lemma join."""
-    return drop_stop_words(split_words(clean_text(text)))
+    dropped = ["", *STOP_WORDS]
+    return F.filter(_pieces(clean_text(text)), lambda word: ~word.isin(dropped))
 
 
 def serving_words(text: ColumnLike) -> Column:

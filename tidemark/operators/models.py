@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import reports
 from tidemark.operators.quality import columns_except
 from tidemark.operators.split import train_and_test
-from tidemark.session import scratch_path
-from tidemark.sources import read_table, write_table
+from tidemark.sources import stored
 
 CATEGORICAL = ["gender", "state", "device"]
 NOT_FEATURES = ["label", "userId"]
@@ -35,17 +34,6 @@ FOLDS = 3
 SEED = 2022
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back.
-
-    Iterative fits then start from a small table instead of the log, also after
-    an executor is lost.
-    """
-    path = scratch_path(df.sparkSession, name)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
-
-
 def input_columns(features: DataFrame) -> list[str]:
     """Vector inputs in a fixed order: numbers as in the table, then the indexes."""
     numbers = columns_except(features.columns, NOT_FEATURES, CATEGORICAL)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources import stored
+
 # The ladder of nested quantiles drawn by a letter-value plot.
 LADDER = [1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 31 / 32]
 
@@ -22,21 +24,24 @@ def exact_quantiles(
     """Interpolated quantiles per group: (keys..., probability, ``name``).
 
     The built-in exact percentile holds all distinct values of a group in one
-    task. Here each group is cut into value buckets along approximate quantiles;
-    ranks are found per bucket, so no task sees more than about 1/``buckets`` of
-    a group, and equal values are merged before. The cut points (one bounded row
-    per group) are fetched once, which keeps them the same on a task retry; they
-    steer only the balance, not the result. Nulls are skipped.
+    task. Here equal values are merged and counted first, and the counts stored,
+    since they are read three times. Each group is then cut into value buckets
+    along approximate quantiles of its distinct values; ranks are found per
+    bucket, so no task sees more than about 1/``buckets`` of them. The cut points
+    (one bounded row per group) are fetched once, which keeps them the same on a
+    task retry; they steer only the balance, not the result. Nulls are skipped.
     """
     probabilities = LADDER if probabilities is None else probabilities
     rows = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("__value")
     )
-    counts = rows.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__copies"))
+    counts = stored(
+        rows.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__copies")), "value-counts"
+    )
 
     steps = [i / buckets for i in range(1, buckets)]
     cuts_of_group = F.percentile_approx("__value", steps).alias("__cuts")
-    found = rows.groupBy(*keys).agg(cuts_of_group).limit(_MAX_GROUPS + 1).collect()
+    found = counts.groupBy(*keys).agg(cuts_of_group).limit(_MAX_GROUPS + 1).collect()
     if len(found) > _MAX_GROUPS:
         raise ValueError(f"more than {_MAX_GROUPS} groups: use percentile_approx per group")
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -22,9 +22,10 @@ from tidemark.operators import (
     terms,
 )
 from tidemark.operators import quantiles as q
-from tidemark.plans import churn, roundtrips, training
+from tidemark.plans import churn, roundtrips, training, wording
 from tidemark.session import configure, scratch_path
 from tidemark.sources import driver_tables as views
+from tidemark.sources import stored
 from tidemark.sources.driver_tables import CATEGORY_NAMES, PAGES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,10 +440,6 @@ def tokenised(spark, sf_dir, profile="train"):
     return terms.tokens(views.messages(spark, sf_dir, with_urls=True), profile=profile)
 
 
-def lemma_counts(spark, sf_dir):
-    return terms.term_counts(terms.lemmatised_terms(tokenised(spark, sf_dir)))
-
-
 @query
 def cleaned_text(spark, sf_dir):
     source = views.messages(spark, sf_dir, with_urls=True)
@@ -464,12 +461,12 @@ def tokens_no_stop(spark, sf_dir):
 
 @query
 def noun_lemmas(spark, sf_dir):
-    return terms.noun_lemmas(terms.vocabulary(tokenised(spark, sf_dir)))
+    return wording.corpus_terms(tokenised(spark, sf_dir))[1]
 
 
 @query
 def lemma_tokens(spark, sf_dir):
-    words = terms.lemmatise(tokenised(spark, sf_dir))
+    words = wording.lemmatised(tokenised(spark, sf_dir))
     return words.select("id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -477,18 +474,19 @@ def lemma_tokens(spark, sf_dir):
 def serving_tokens(spark, sf_dir):
     """The serving tokeniser: no URL, punctuation or stop-word step."""
     words = tokenised(spark, sf_dir, "serve")
-    words = terms.lemmatise(words, lower_after=True)
+    words = wording.lemmatised(words, lower_after=True)
     return words.select("id", F.size("tokens").alias("n_tokens"))
 
 
 @query
 def doc_frequency(spark, sf_dir):
-    return terms.document_frequency(lemma_counts(spark, sf_dir))
+    counts, lemmas = wording.corpus_terms(tokenised(spark, sf_dir))
+    return terms.document_frequency(terms.lemma_counts(counts, lemmas))
 
 
 @query
 def tfidf_long(spark, sf_dir):
-    return terms.tfidf(lemma_counts(spark, sf_dir), views.messages(spark, sf_dir))
+    return wording.message_tfidf(tokenised(spark, sf_dir))
 
 
 # --- splits, indexes and reports ---------------------------------------------
@@ -566,7 +564,7 @@ def csv_messages_roundtrip(spark, sf_dir):
 
 @query
 def table_roundtrip(spark, sf_dir):
-    return roundtrips.stored_table(cleaned(spark, sf_dir))
+    return stored(cleaned(spark, sf_dir), "table")
 
 
 # --- models -----------------------------------------------------------------

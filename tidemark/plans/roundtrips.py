@@ -10,10 +10,8 @@ from tidemark.sources import (
     read_calendar,
     read_events,
     read_messages,
-    read_table,
     write_csv,
     write_json,
-    write_table,
 )
 
 
@@ -34,9 +32,3 @@ def csv_messages(messages: DataFrame) -> DataFrame:
     path = scratch_path(messages.sparkSession, "messages-csv")
     write_csv(messages, path)
     return read_messages(messages.sparkSession, path)
-
-
-def stored_table(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "table")
-    write_table(df, path)
-    return read_table(df.sparkSession, path)

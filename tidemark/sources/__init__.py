@@ -8,6 +8,8 @@ from tidemark.sources.files import (
     read_listings,
     read_messages,
     read_table,
+    spread,
+    stored,
     write_csv,
     write_json,
     write_table,
@@ -33,6 +35,8 @@ __all__ = [
     "read_listings",
     "read_messages",
     "read_table",
+    "spread",
+    "stored",
     "write_csv",
     "write_json",
     "write_table",

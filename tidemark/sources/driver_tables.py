@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import row_number_by_bucket
+from tidemark.sources.files import spread
 
 _DAY_MILLIS = 86_400_000
 
@@ -139,7 +140,7 @@ def _message_columns(text: Column) -> list[Column]:
 
 def messages(spark: SparkSession, sf_dir: str, with_urls: bool = False) -> DataFrame:
     """Documents as messages; ``with_urls`` puts the page address before the text."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     text = F.col("text")
     if with_urls:
         pages = table(spark, sf_dir, "pages").select("page_id", "url")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import scratch_path
 from tidemark.sources.schemas import (
     CALENDAR_SCHEMA,
     CATEGORIES_SCHEMA,
@@ -90,3 +91,24 @@ def write_json(df: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row, quotes doubled inside cells."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out evenly for heavy work per row.
+
+    A few unsplittable files would keep most cores idle. A large input has more
+    splits than cores and passes as it is, without a shuffle. For plain scans.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to a new path under the shared folder and read back.
+
+    For results that are read several times: later jobs start from the small
+    table instead of the source, also after an executor is lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
