@@ -42,7 +42,7 @@ HEADLINES = [
     "report_from_labels",
     "split_users_exact",
 ]
-ONCE = ["tune_svc", "message_report"]
+ONCE = ["tune_svc", "message_report_lemmas"]
 
 
 def run(spark, name: str, sf_dir: str) -> float:

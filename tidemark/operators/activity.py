@@ -25,6 +25,7 @@ CHURN_PAGE = "Cancellation Confirmation"
 CANCEL_PAGES = ["Cancellation Confirmation", "Cancel"]
 
 HOURS = range(24)
+MAX_PAGES = 1000
 MILLIS_PER_SECOND = 1000
 
 
@@ -219,9 +220,12 @@ def lifetime_days(log: DataFrame) -> DataFrame:
 
 
 def page_values(log: DataFrame) -> list[str]:
-    """The pages that occur, sorted: one small distinct job."""
+    """The pages that occur, sorted: one distinct job, refused beyond ``MAX_PAGES``."""
     pages = log.filter(F.col("page").isNotNull()).select("page").distinct()
-    return sorted(row.page for row in pages.collect())
+    found = pages.limit(MAX_PAGES + 1).collect()
+    if len(found) > MAX_PAGES:
+        raise ValueError(f"more than {MAX_PAGES} pages are too many for columns")
+    return sorted(row.page for row in found)
 
 
 def page_pivot(log: DataFrame, pages: list[str] | None = None) -> DataFrame:

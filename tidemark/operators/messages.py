@@ -9,6 +9,7 @@ from tidemark.functions import display_name
 from tidemark.operators.quality import to_rows
 
 TEXT_COLUMNS = ["id", "message", "original", "genre"]
+MAX_CATEGORIES = 1000
 
 
 def merge_messages(messages: DataFrame, categories: DataFrame, null_keys: bool = False) -> DataFrame:
@@ -38,7 +39,10 @@ def category_names(df: DataFrame, column: str = "categories") -> list[str]:
         .agg(F.min("position").alias("position"))
         .orderBy("position", "name")
     )
-    return [row.name for row in names.collect()]
+    found = names.limit(MAX_CATEGORIES + 1).collect()
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories are too many for columns")
+    return [row.name for row in found]
 
 
 def expand_categories(df: DataFrame, names: list[str], column: str = "categories") -> DataFrame:

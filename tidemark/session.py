@@ -20,6 +20,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings fixed when a session starts.
+START_SETTINGS = {
+    # Recording the Python call site of every column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(
     app: str = "tidemark",
@@ -38,7 +44,7 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME_SETTINGS, **(settings or {})}.items():
+    for key, value in {**START_SETTINGS, **RUNTIME_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

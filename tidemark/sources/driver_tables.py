@@ -3,8 +3,11 @@ files over the Parquet tables of one folder (see FIXTURES.md, part B)."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.ranking import row_number_by_bucket
 from tidemark.sources.files import spread
@@ -12,8 +15,15 @@ from tidemark.sources.files import spread
 _DAY_MILLIS = 86_400_000
 
 
+@lru_cache(maxsize=64)
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One table; its schema is looked up once per process, not on every read."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _choose(value: Column, options: dict, otherwise: str) -> Column:
