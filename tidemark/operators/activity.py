@@ -281,7 +281,9 @@ def user_attribute(log: DataFrame, value: Column, name: str) -> DataFrame:
     """Distinct (label, userId, value) rows.
 
     The log is read once: the rows are cut to distinct pairs first, and the
-    label of a user is taken from its pairs.
+    label of a user is taken from its pairs. ``greatest`` changes no label; it
+    makes both uses of the pairs need the same columns, so that Spark computes
+    and shuffles them only once.
     """
     pairs = (
         log.filter(F.col("userId").isNotNull())
@@ -289,7 +291,8 @@ def user_attribute(log: DataFrame, value: Column, name: str) -> DataFrame:
         .agg(churn_flag().alias("__churned"))
     )
     labels = pairs.groupBy("userId").agg(F.max("__churned").alias("label"))
-    return pairs.join(labels, "userId").select("label", "userId", name)
+    label = F.greatest("label", "__churned").alias("label")
+    return pairs.join(labels, "userId").select(label, "userId", name)
 
 
 def user_gender(log: DataFrame) -> DataFrame:

@@ -15,7 +15,11 @@ def with_share(counts: DataFrame, count: str, within: str, name: str = "share")
 
 
 def count_by_label(users: DataFrame, column: str, name: str = "num_users") -> DataFrame:
-    """Rows per (label, value) of a table with one row per user and value."""
+    """Users per (label, value).
+
+    The input has one row per user and value, so counting rows counts distinct
+    users without a further shuffle.
+    """
     return users.groupBy("label", column).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -26,11 +30,7 @@ def gender_by_label(log: DataFrame) -> DataFrame:
 
 def level_by_label(log: DataFrame) -> DataFrame:
     """Users who ever paid, and others, by label."""
-    counts = (
-        activity.levels(log)
-        .groupBy("label", "is_paid")
-        .agg(F.count_distinct("userId").alias("num_users"))
-    )
+    counts = count_by_label(activity.levels(log), "is_paid")
     return with_share(counts, "num_users", "is_paid").orderBy("label", "is_paid")
 
 
@@ -39,11 +39,7 @@ def state_by_label(log: DataFrame) -> DataFrame:
 
 
 def device_by_label(log: DataFrame) -> DataFrame:
-    counts = (
-        activity.user_device(log)
-        .groupBy("label", "device")
-        .agg(F.count_distinct("userId").alias("num_users"))
-    )
+    counts = count_by_label(activity.user_device(log), "device")
     return with_share(counts, "num_users", "device").orderBy("label", "device")
 
 
@@ -80,6 +76,14 @@ def churn_by_hour(log: DataFrame) -> DataFrame:
     )
 
 
+def sessions_per_user(log: DataFrame) -> DataFrame:
+    """Distinct sessions and distinct item positions of each user."""
+    return log.groupBy("userId").agg(
+        F.count_distinct("sessionId").alias("num_sessions"),
+        F.count_distinct("itemInSession").alias("num_items"),
+    )
+
+
 def sessions_of_user(log: DataFrame, user: str) -> DataFrame:
     """Distinct sessions and distinct item positions of one user."""
     return log.filter(F.col("userId") == user).agg(

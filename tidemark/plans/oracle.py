@@ -71,10 +71,11 @@ parsed AS (
          CAST(replace(substr(adjusted_price, 2), ',', '') AS DOUBLE) AS adjusted_price
   FROM calendar),
 listings AS (
-  SELECT p_partkey AS id, concat(p_type, ' / ', p_brand, ' District') AS neighbourhood
-  FROM part WHERE p_partkey % 10 <> 0),
+  SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN p_brand
+    ELSE concat(p_type, ' / ', p_brand, ' District') END AS neighbourhood
+  FROM part),
 days AS (
-  SELECT c.listing_id, c.date, c.price, trim(split_part(l.neighbourhood, '/', 2)) AS neighbourhood
+  SELECT c.listing_id, c.date, c.price, nullif(trim(split_part(l.neighbourhood, '/', 2)), '') AS neighbourhood
   FROM parsed c LEFT JOIN listings l ON c.listing_id = l.id),
 by_district AS (
   SELECT neighbourhood, date, avg(price) AS price
@@ -409,6 +410,11 @@ _log(
     """SELECT count(DISTINCT sessionId) AS num_sessions, count(DISTINCT itemInSession) AS num_items
     FROM log WHERE userId = '8'""",
 )
+_log(
+    "sessions_per_user",
+    """SELECT userId, count(DISTINCT sessionId) AS num_sessions,
+      count(DISTINCT itemInSession) AS num_items FROM log GROUP BY userId""",
+)
 _log(
     "events_of_user",
     """SELECT page, strftime(moment, '%Y-%m-%d %H:%M:%S') AS datetime, sessionId, itemInSession

@@ -277,6 +277,11 @@ def sessions_of_user(spark, sf_dir):
     return explore.sessions_of_user(log(spark, sf_dir, items=True), USER)
 
 
+@query
+def sessions_per_user(spark, sf_dir):
+    return explore.sessions_per_user(log(spark, sf_dir, items=True))
+
+
 @query
 def events_of_user(spark, sf_dir):
     return explore.events_of_user(log(spark, sf_dir, items=True), USER)
