@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions._cols import ColumnLike, as_column
 
+_STARTS = [*"0123456789.-"]
+
 
 def currency(text: ColumnLike, strict: bool = False) -> Column:
     """``$1,234.50`` as 1234.5: one leading sign is dropped, commas are removed.
@@ -14,5 +16,9 @@ def currency(text: ColumnLike, strict: bool = False) -> Column:
     Text without a sign is read as it stands. Text that is no number gives null,
     or raises in strict mode.
     """
-    number = F.replace(F.regexp_replace(as_column(text), "^[^0-9.-]", ""), F.lit(","), F.lit(""))
+    price = as_column(text)
+    digits = F.when(F.left(price, F.lit(1)).isin(_STARTS), price).otherwise(
+        F.substring(price, F.lit(2), F.length(price))
+    )
+    number = F.translate(digits, ",", "")
     return number.cast("double") if strict else number.try_cast("double")

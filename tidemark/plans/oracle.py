@@ -216,8 +216,8 @@ ORACLE["pages_when_not_null"] = (
 )
 _log(
     "describe_items",
-    """SELECT count(itemInSession) AS count, round(avg(itemInSession), 6) AS mean,
-       round(stddev_samp(itemInSession), 6) AS stddev, min(itemInSession) AS min,
+    """SELECT count(itemInSession) AS count, CAST(round(CAST(avg(itemInSession) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS mean,
+       CAST(round(CAST(stddev_samp(itemInSession) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS stddev, min(itemInSession) AS min,
        max(itemInSession) AS max FROM log""",
 )
 _prices(
@@ -248,7 +248,7 @@ _log(
 # --- activity log -----------------------------------------------------------
 
 _clean_columns = ", ".join(
-    "round(length, 6) AS length" if c == "length" else c
+    "CAST(round(CAST(length AS DECIMAL(38, 9)), 6) AS DOUBLE) AS length" if c == "length" else c
     for c in LOG_COLUMNS
     if c != "itemInSession"
 )
@@ -289,7 +289,7 @@ _log("label_balance", "SELECT label, count(*) AS num_users FROM labels GROUP BY
 _log(
     "churn_rate",
     """SELECT count(*) AS num_users, count(*) FILTER (label = 1) AS num_churned,
-       round(avg(label), 6) AS churn_rate FROM labels""",
+       CAST(round(CAST(avg(label) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS churn_rate FROM labels""",
 )
 _log(
     "labelled_log",
@@ -305,7 +305,7 @@ def _user(aggregates: str) -> str:
 
 
 def _round(expression: str, name: str, exact: bool) -> str:
-    return f"{expression} AS {name}" if exact else f"round({expression}, 6) AS {name}"
+    return f"{expression} AS {name}" if exact else f"CAST(round(CAST({expression} AS DECIMAL(38, 9)), 6) AS DOUBLE) AS {name}"
 
 
 def _lengths(exact: bool = False) -> str:
@@ -327,7 +327,7 @@ _PAGE_COUNTS = ", ".join(
 )
 _HOUR_COUNTS = ", ".join(f"count(*) FILTER (hour = {h}) AS num_pages_hr{h}" for h in range(24))
 _HOUR_SHARES = ", ".join(
-    f"round(count(*) FILTER (hour = {h}) / count(page), 6) AS num_pages_hr{h}" for h in range(24)
+    f"CAST(round(CAST(count(*) FILTER (hour = {h}) / count(page) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS num_pages_hr{h}" for h in range(24)
 )
 
 
@@ -350,7 +350,7 @@ _log(
 _log("avg_times_per_song", _avg_times())
 _log(
     "avg_times_per_song_songs_only",
-    """SELECT label, userId, round(avg(n), 6) AS avg_times_per_song FROM labels LEFT JOIN (
+    """SELECT label, userId, CAST(round(CAST(avg(n) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS avg_times_per_song FROM labels LEFT JOIN (
       SELECT userId, song, count(*) AS n FROM log WHERE song IS NOT NULL GROUP BY userId, song)
       USING (userId) GROUP BY label, userId""",
 )
@@ -424,7 +424,7 @@ _log(
 
 def _by_label(column: str, share: bool) -> str:
     part = (
-        f", round(num_users / sum(num_users) OVER (PARTITION BY {column}), 6) AS share" if share else ""
+        f", CAST(round(CAST(num_users / sum(num_users) OVER (PARTITION BY {column}) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS share" if share else ""
     )
     return f"""SELECT label, {column}, num_users{part} FROM (
       SELECT label, {column}, count(DISTINCT userId) AS num_users
@@ -437,7 +437,7 @@ _log("device_by_label", _by_label("device", share=True))
 _log(
     "level_by_label",
     """SELECT label, is_paid, num_users,
-      round(num_users / sum(num_users) OVER (PARTITION BY is_paid), 6) AS share
+      CAST(round(CAST(num_users / sum(num_users) OVER (PARTITION BY is_paid) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS share
     FROM (SELECT label, is_paid, count(*) AS num_users FROM (
       SELECT label, userId, max(CASE WHEN level = 'paid' THEN 1 ELSE 0 END)::BIGINT AS is_paid
       FROM log JOIN labels USING (userId) GROUP BY label, userId) GROUP BY label, is_paid)""",
@@ -454,8 +454,8 @@ _log(
 )
 _log(
     "hour_label_crosstab",
-    f"""{_RANKED} SELECT hour, round(count(*) FILTER (label = 0) / count(*), 6) AS stayed,
-      round(count(*) FILTER (label = 1) / count(*), 6) AS churned
+    f"""{_RANKED} SELECT hour, CAST(round(CAST(count(*) FILTER (label = 0) / count(*) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS stayed,
+      CAST(round(CAST(count(*) FILTER (label = 1) / count(*) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS churned
     FROM ranked WHERE row_number = 1 GROUP BY hour""",
 )
 _log(
@@ -485,8 +485,8 @@ _log(
     "measure_quantiles_by_label",
     f"{_measured(exact=True)} "
     + " UNION ALL ".join(
-        f"SELECT label, '{m}' AS measure, round(CAST({p} AS DOUBLE), 6) AS probability, "
-        f"round(quantile_cont(CAST({m} AS DOUBLE), {p}), 6) AS quantile "
+        f"SELECT label, '{m}' AS measure, CAST(round(CAST(CAST({p} AS DOUBLE) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS probability, "
+        f"CAST(round(CAST(quantile_cont(CAST({m} AS DOUBLE), {p}) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS quantile "
         "FROM measured GROUP BY label"
         for m in _MEASURES
         for p in _LADDER
@@ -497,28 +497,28 @@ _log(
 
 _prices(
     "price_parsed",
-    "SELECT listing_id, date, round(price, 6) AS price, round(adjusted_price, 6) AS adjusted_price "
+    "SELECT listing_id, date, CAST(round(CAST(price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price, CAST(round(CAST(adjusted_price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS adjusted_price "
     "FROM parsed",
 )
-_prices("price_by_date", "SELECT date, round(avg(price), 6) AS price FROM parsed GROUP BY date")
+_prices("price_by_date", "SELECT date, CAST(round(CAST(avg(price) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price FROM parsed GROUP BY date")
 _prices(
     "calendar_with_district",
-    "SELECT listing_id, date, round(price, 6) AS price, neighbourhood FROM days",
+    "SELECT listing_id, date, CAST(round(CAST(price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price, neighbourhood FROM days",
 )
 _prices(
     "price_by_district_date",
-    "SELECT neighbourhood, date, round(price, 6) AS price FROM by_district",
+    "SELECT neighbourhood, date, CAST(round(CAST(price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price FROM by_district",
 )
 _prices("districts", "SELECT DISTINCT neighbourhood FROM by_district")
 _prices(
     "district_series",
-    """SELECT neighbourhood, date, round(price, 6) AS price,
+    """SELECT neighbourhood, date, CAST(round(CAST(price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price,
       CAST(neighbourhood IN ('Brand#1 District', 'Brand#2 District') AS BIGINT) AS highlighted
     FROM by_district""",
 )
 _prices(
     "one_district_series",
-    """SELECT neighbourhood, date, round(price, 6) AS price, CAST(0 AS BIGINT) AS highlighted
+    """SELECT neighbourhood, date, CAST(round(CAST(price AS DECIMAL(38, 9)), 6) AS DOUBLE) AS price, CAST(0 AS BIGINT) AS highlighted
     FROM by_district WHERE neighbourhood = 'Brand#3 District'""",
 )
 
@@ -578,7 +578,7 @@ _text(
     """, weights AS (
       SELECT id, term, n * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
       FROM counts JOIN frequency USING (term))
-    SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight FROM weights""",
+    SELECT id, term, CAST(round(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS weight FROM weights""",
 )
 
 # --- splits, indexes and reports ---------------------------------------------
@@ -622,26 +622,26 @@ _messages(
 _messages(
     "report_from_labels",
     f"""{_PAIRS}
-    SELECT category, CAST(CAST(class AS INTEGER) AS VARCHAR) AS row, round(precision, 6) AS precision,
-      round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM scores
-    UNION ALL SELECT category, 'accuracy', NULL, NULL, round(sum(hits) / sum(support), 6),
+    SELECT category, CAST(CAST(class AS INTEGER) AS VARCHAR) AS row, CAST(round(CAST(precision AS DECIMAL(38, 9)), 6) AS DOUBLE) AS precision,
+      CAST(round(CAST(recall AS DECIMAL(38, 9)), 6) AS DOUBLE) AS recall, CAST(round(CAST(f1 AS DECIMAL(38, 9)), 6) AS DOUBLE) AS f1, support FROM scores
+    UNION ALL SELECT category, 'accuracy', NULL, NULL, CAST(round(CAST(sum(hits) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE),
       CAST(sum(support) AS BIGINT) FROM scores GROUP BY category
-    UNION ALL SELECT category, 'macro avg', round(avg(precision), 6), round(avg(recall), 6),
-      round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM scores GROUP BY category
-    UNION ALL SELECT category, 'weighted avg', round(sum(precision * support) / sum(support), 6),
-      round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+    UNION ALL SELECT category, 'macro avg', CAST(round(CAST(avg(precision) AS DECIMAL(38, 9)), 6) AS DOUBLE), CAST(round(CAST(avg(recall) AS DECIMAL(38, 9)), 6) AS DOUBLE),
+      CAST(round(CAST(avg(f1) AS DECIMAL(38, 9)), 6) AS DOUBLE), CAST(sum(support) AS BIGINT) FROM scores GROUP BY category
+    UNION ALL SELECT category, 'weighted avg', CAST(round(CAST(sum(precision * support) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE),
+      CAST(round(CAST(sum(recall * support) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE), CAST(round(CAST(sum(f1 * support) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE),
       CAST(sum(support) AS BIGINT) FROM scores GROUP BY category""",
 )
 _messages(
     "accuracy_and_f1",
-    f"""{_PAIRS} SELECT category, round(sum(hits) / sum(support), 6) AS accuracy,
-      round(sum(f1 * support) / sum(support), 6) AS f1 FROM scores GROUP BY category""",
+    f"""{_PAIRS} SELECT category, CAST(round(CAST(sum(hits) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS accuracy,
+      CAST(round(CAST(sum(f1 * support) / sum(support) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS f1 FROM scores GROUP BY category""",
 )
 
 # --- sources and sinks ------------------------------------------------------
 
 _json_columns = ", ".join(
-    "round(length, 6) AS length" if c == "length" else c for c in _JSON_COLUMNS
+    "CAST(round(CAST(length AS DECIMAL(38, 9)), 6) AS DOUBLE) AS length" if c == "length" else c for c in _JSON_COLUMNS
 )
 ORACLE["json_roundtrip"] = f"WITH {_BASE_LOG}\nSELECT {_json_columns} FROM activity_log"
 _prices("csv_roundtrip", "SELECT listing_id, date, price, adjusted_price FROM calendar")

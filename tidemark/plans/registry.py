@@ -38,14 +38,18 @@ _DUPLICATE_COLUMNS = ["message", "original", "genre", "categories"]
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Numbers as the SQL check returns them: 64-bit counts, doubles to 6 digits."""
+    """Numbers as the SQL check returns them: 64-bit counts, doubles to 6 digits.
+
+    Sums of doubles depend on the order of rows in their last digits. Going
+    through a decimal first rounds values halfway between two results alike.
+    """
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind in ("int", "smallint", "boolean"):
             column = column.cast("bigint") if kind != "boolean" else column.cast("int").cast("bigint")
         elif kind == "double":
-            column = F.round(column, DIGITS)
+            column = F.round(column.cast("decimal(38,9)"), DIGITS).cast("double")
         elif kind == "date":
             column = column.cast("string")
         columns.append(column.alias(name))

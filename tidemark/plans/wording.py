@@ -1,8 +1,9 @@
 """Corpus jobs: term counts, lemmas and TF-IDF of all messages.
 
-The text is tokenised once. Counts per document and form, the lemma table and
-the document frequencies are written to the shared folder in turn, so that each
-later step reads a small table whose size the optimizer knows.
+The text is tokenised once. Counts per document and form, the lemma table, the
+counts per lemma and the document frequencies are written to the shared folder
+in turn, so that each later step starts from a table whose size the optimizer
+knows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,6 @@ def lemmatised(tokenised: DataFrame, lower_after: bool = False) -> DataFrame:
 def message_tfidf(tokenised: DataFrame) -> DataFrame:
     """TF-IDF weights of lemmas."""
     forms, lemmas = corpus_terms(tokenised)
-    counts = terms.lemma_counts(forms, lemmas)
+    counts = stored(terms.lemma_counts(forms, lemmas), "lemma-counts")
     frequencies = stored(terms.document_frequency(counts), "document-frequency")
     return terms.tfidf(counts, tokenised.select("id"), frequencies)

@@ -121,7 +121,10 @@ def activity_log(
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     money = F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_shipdate", "l_linenumber", "l_extendedprice"
+    )
+    return spread(lines).select(
         F.col("l_partkey").alias("listing_id"),
         F.col("l_shipdate").cast("date").cast("string").alias("date"),
         F.when(F.col("l_linenumber") != 7, money).alias("price"),
