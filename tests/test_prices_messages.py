@@ -55,6 +55,9 @@ def test_table_replaces_what_is_there(spark, tmp_path):
     write_table(spark.range(5), path)
     write_table(spark.range(2), path)
     assert read_table(spark, path).count() == 2
+    for n in (5, 2):
+        write_table(spark.range(n).withColumn("part", F.col("id") % 2), "kept", ["part"])
+    assert read_table(spark, "kept").count() == 2
 
 
 def _sides(spark):

@@ -571,6 +571,22 @@ for _name, _relation in [
         _name,
         f"SELECT t.id, {_joined} FROM texts t LEFT JOIN {_relation} r ON t.id = r.id GROUP BY t.id",
     )
+ORACLE["serving_tokens"] = rf"""WITH {_URL_MESSAGES},
+padded AS (
+  SELECT id, regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(message, '(`+|[$<>;@#%&?!()\[\]{{}}"])', ' \1 ', 'g'),
+    '([:,])([^0-9])', ' \1 \2', 'g'), '([:,])([^0-9])', ' \1 \2', 'g'), '([:,])$', ' \1 ') AS text
+  FROM texts),
+ended AS (SELECT id, regexp_replace(text, '\.[\s\p{{Z}}]*$', ' . ') AS text FROM padded),
+lists AS (
+  SELECT id, list_filter(string_split_regex(text, '[\s\p{{Z}}]+'), lambda w: w <> '') AS words
+  FROM ended),
+words AS (
+  SELECT id, position, term FROM (
+    SELECT id, unnest(words) AS term, generate_subscripts(words, 1) AS position FROM lists)),
+{_lemma_sql("words")}
+SELECT t.id, coalesce(string_agg(trim(lower(term)), ' ' ORDER BY position), '') AS tokens
+FROM texts t LEFT JOIN lemmatised r ON t.id = r.id GROUP BY t.id"""
 _text("noun_lemmas", "SELECT form, lemma FROM lemmas")
 _text("doc_frequency", "SELECT term, df FROM frequency")
 _text(

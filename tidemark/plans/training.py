@@ -12,7 +12,6 @@ from tidemark.operators import models, multilabel
 from tidemark.operators.split import with_exact_side
 from tidemark.plans.churn import fill_song_measures
 from tidemark.session import scratch_path
-from tidemark.sources import stored
 from tidemark.streaming import scoring
 
 
@@ -45,8 +44,11 @@ def tune_churn(features: DataFrame, grid: dict[str, list] | None = None, folds:
 
 
 def split_messages(cleaned: DataFrame, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Training and test messages of exact sizes."""
-    sided = stored(with_exact_side(cleaned, "id", train), "messages")
+    """Training and test messages of exact sizes.
+
+    The side follows from the id, so nothing has to be kept between the two.
+    """
+    sided = with_exact_side(cleaned, "id", train)
     return (
         sided.filter("side = 'train'").drop("side"),
         sided.filter("side = 'test'").drop("side"),
