@@ -193,3 +193,20 @@ def test_registration_counts_add_up(spark):
     for row in explore.registration_counts(log).collect():
         got[row.part] += row.num_users
     assert set(got.values()) == {9} and len(got) == 6
+
+
+def test_features_equal_the_joined_measures_with_a_hot_user(spark, sf_dir):
+    from bench_forms import features_by_joins
+
+    log = activity.clean_log(views.activity_log(spark, sf_dir))
+    hot = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("userId"))
+    # One value per attribute and user, so that the joined form has one row per user.
+    log = log.withColumns({"userId": hot, "gender": F.lit("F"), "location": F.lit("X, CA")})
+    log = log.withColumn("userAgent", F.lit("M (iPad; x)")).cache()
+    features = churn.user_features(log, views.PAGES)
+    rounded = [
+        F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in features.dtypes
+    ]
+    joined = features_by_joins(log).select(*features.columns)
+    assert rows_of(features, *rounded) == rows_of(joined, *rounded)
+    assert features.filter("userId = 'hot'").count() == 1
