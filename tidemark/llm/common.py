@@ -36,6 +36,12 @@ def slices(
             start = end
 
 
+def unpacked(batch: pa.RecordBatch, text: str = "text") -> pa.RecordBatch:
+    """A batch with the struct column ``row`` and the text inside it as a column."""
+    row = batch.column("row")
+    return pa.RecordBatch.from_arrays([row, pc.struct_field(row, text)], ["row", text])
+
+
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [value or "" for value in batch.column(text).to_pylist()]
@@ -57,3 +63,20 @@ def same_key(left: DataFrame, right: DataFrame, names: Iterable[str]) -> Column:
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, sample: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``sample`` labelled documents that are not held out.
+
+    Ids are hashed and the smallest hashes win, so reruns agree. Rows whose id or
+    label is null are left out; an id that is labelled or present twice counts
+    once, with the larger label and text.
+    """
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    known = known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    known = known.filter(remainder("doc_id", folds) != held_out)
+    ids = docs.select("doc_id").distinct().join(known, "doc_id")
+    chosen = ids.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(sample)
+    # At most ``sample`` short rows, so the texts need no shuffle to meet them.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id").agg(F.max("label").alias("label"), F.max("text").alias("text"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import curriculum, linespread, simhash
+from tidemark.llm import boosting, curriculum, factorization, linespread, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = factorization.train(docs, table(spark, sf_dir, "labels"))
+    return factorization.judged(docs, machine)
+
+
 @query
 def op5_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.plan_of(table(spark, sf_dir, "documents"))
@@ -32,6 +39,13 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = boosting.train(docs, table(spark, sf_dir, "labels"))
+    return boosting.judged(docs, forest)
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linespread.report(table(spark, sf_dir, "documents"))
