@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import boosting, curriculum, factorization, linespread, simhash
+from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, transducer
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,8 @@ ORACLE: dict[str, str] = {
     "op10_line_dedup": linespread.ORACLE,
 }
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -39,6 +42,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return dac.read(dac.write(docs, public_tokenizers.path(TOKENIZER)))
+
+
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +55,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.judged(docs, forest)
 
 
+@query
+def op9_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
+    return transducer.digests(docs, path, transducer.build(docs, path))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linespread.report(table(spark, sf_dir, "documents"))
