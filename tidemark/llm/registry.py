@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, transducer
+from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, transducer, urlfilter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
