@@ -20,7 +20,7 @@ TABLES = (
 ).split()
 
 # Spark type to DuckDB type.
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
