@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, transducer, urlfilter
+from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, topk, transducer, urlfilter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {
+    "op1_exact_top_k": topk.ORACLE,
     "op5_mixing_to_target_weights": curriculum.ORACLE,
     "op10_line_dedup": linespread.ORACLE,
 }
@@ -25,6 +26,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.every(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"))
