@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, topk, transducer, urlfilter
+from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, subspaces, topk, transducer, urlfilter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {
     "op1_exact_top_k": topk.ORACLE,
+    "op3_embedding_near_dedup": subspaces.ORACLE,
     "op5_mixing_to_target_weights": curriculum.ORACLE,
     "op10_line_dedup": linespread.ORACLE,
 }
@@ -36,6 +37,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
