@@ -1,4 +1,4 @@
-"""Compare the chosen form of some operators with the plain form.
+"""Time some operators on a larger log.
 
 Prints one JSON line with the median seconds of each form at ``BENCH_SF_DIR``.
 The activity log is written as Parquet once, ``BENCH_COPIES`` times (default 10,
@@ -7,13 +7,11 @@ each copy with users of its own), so that the work outweighs planning.
 
 from __future__ import annotations
 
-import datetime
 import json
 import os
 import statistics
 import sys
 import time
-from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -28,42 +26,13 @@ from tidemark.sources import driver_tables as views  # noqa: E402
 from tidemark.sources import stored  # noqa: E402
 
 
-def features_by_joins(log: DataFrame) -> DataFrame:
-    """One aggregation per measure, joined by user."""
-    parts = [
-        activity.artists_per_user(log),
-        activity.length_stats(log),
-        activity.user_gender(log),
-        activity.levels(log),
-        activity.user_state(log),
-        activity.page_pivot(log, views.PAGES),
-        activity.lifetime_days(log),
-        activity.song_counts(log),
-        activity.avg_times_per_song(log),
-        activity.hour_share_by_join(log),
-        activity.user_device(log),
-    ]
-    return reduce(lambda left, right: left.join(right, on=["label", "userId"]), parts)
-
-
 def native_texts(log: DataFrame) -> DataFrame:
     return log.select(epoch_millis_text("ts"), state_code("location"), device_name("userAgent"))
 
 
-def python_texts(log: DataFrame) -> DataFrame:
-    """The same three texts by row-at-a-time Python functions."""
-    utc = datetime.timezone.utc
-    time_text = F.udf(lambda ms: f"{datetime.datetime.fromtimestamp(ms // 1000, utc):%Y-%m-%d %H:%M:%S}")
-    last_two = F.udf(lambda text: text[-2:])
-    first_word = F.udf(lambda text: text.partition("(")[2].replace(";", " ").partition(" ")[0])
-    return log.select(time_text("ts"), last_two("location"), first_word("userAgent"))
-
-
 FORMS = {
     "user_features: three aggregations": lambda log: user_features(log, views.PAGES),
-    "user_features: eleven joins": features_by_joins,
     "three texts: native": native_texts,
-    "three texts: Python functions": python_texts,
 }
 
 

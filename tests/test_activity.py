@@ -86,10 +86,13 @@ def test_user_who_only_cancelled_has_no_features(spark):
     assert rows_of(activity.page_pivot(log, PAGES), "userId") == [("b",)]
 
 
-def test_pages_are_looked_up(spark):
+def test_pages_that_occur_and_their_counts(spark):
     log = make_log(spark, [{"page": "Thumbs Up"}, {"page": "Home"}, {"page": None}, {"page": "Cancel"}])
-    row = activity.page_pivot(log).first().asDict()
-    assert row == {"label": 0, "userId": "u", "home_pagecnt": 1, "thumbsup_pagecnt": 1}
+    assert rows_of(activity.page_values(log)) == [("Home",), ("Thumbs Up",)]
+    counts = rows_of(activity.page_counts(log.filter("page is not null")), "page", "num_events")
+    assert counts == [("Home", 1), ("Thumbs Up", 1)]
+    row = activity.page_pivot(log, ["Home", "Thumbs Up", "Cancel"]).first().asDict()
+    assert {k: v for k, v in row.items() if k.endswith("_pagecnt")} == {"home_pagecnt": 1, "thumbsup_pagecnt": 1}
 
 
 def test_string_functions(spark):
@@ -195,18 +198,26 @@ def test_registration_counts_add_up(spark):
     assert set(got.values()) == {9} and len(got) == 6
 
 
-def test_features_equal_the_joined_measures_with_a_hot_user(spark, sf_dir):
-    from bench_forms import features_by_joins
-
+def test_features_against_plain_counts_with_a_hot_user(spark, sf_dir):
     log = activity.clean_log(views.activity_log(spark, sf_dir))
     hot = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("userId"))
-    # One value per attribute and user, so that the joined form has one row per user.
-    log = log.withColumns({"userId": hot, "gender": F.lit("F"), "location": F.lit("X, CA")})
-    log = log.withColumn("userAgent", F.lit("M (iPad; x)")).cache()
+    log = log.withColumn("userId", hot).cache()
     features = churn.user_features(log, views.PAGES)
-    rounded = [
-        F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in features.dtypes
-    ]
-    joined = features_by_joins(log).select(*features.columns)
-    assert rows_of(features, *rounded) == rows_of(joined, *rounded)
+    got = {r.userId: r for r in features.collect()}
+    rows: dict = {}
+    for row in log.collect():
+        rows.setdefault(row.userId, []).append(row)
+    kept = {u: own for u, own in rows.items() if any(r.page not in activity.CANCEL_PAGES for r in own)}
+    assert got.keys() == kept.keys() and "hot" in got
+    for user, own in kept.items():
+        found, songs = got[user], [r.song for r in own if r.song is not None]
+        assert found.label == int(any(r.page == activity.CHURN_PAGE for r in own))
+        assert found.num_songs == len(songs) and found.num_unique_songs == len(set(songs))
+        assert found.num_artists == len({r.artist for r in own if r.artist is not None})
+        groups = len(set(songs)) + any(r.song is None for r in own)
+        assert found.avg_times_per_song == pytest.approx(len(own) / groups)
+        lengths = [r.length for r in own if r.length is not None]
+        assert (found.max_length, found.min_length) == (max(lengths, default=None), min(lengths, default=None))
+        last = max(own, key=lambda r: (r.ts, r.event_id))
+        assert (found.gender, found.state) == (last.gender, last.location[-2:])
     assert features.filter("userId = 'hot'").count() == 1

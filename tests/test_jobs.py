@@ -29,7 +29,7 @@ def test_log_to_model(spark, tmp_path):
     source.write_text("\n".join(map(json.dumps, lines)))
     log = jobs.ingest_log(spark, str(source), str(tmp_path / "log"))
     assert log.count() == len(lines) - 1
-    scores = jobs.churn_job(log, str(tmp_path / "model"), {"maxIter": [10], "regParam": [0.01]})
+    scores = jobs.churn_job(log, ["Home", "NextSong"], str(tmp_path / "model"), {"maxIter": [10], "regParam": [0.01]})
     row = scores.first()
     assert row.accuracy > 0.8 and row.f1 > 0.8
 
@@ -41,11 +41,11 @@ def test_files_to_message_model(spark, tmp_path):
     (tmp_path / "m.csv").write_text("id,message,original,genre\n" + "\n".join(rows) + "\n")
     packed = [f"{i},related-{2 if i == 5 else 1};water-{int(i % 4 < 2)}" for i in ids]
     (tmp_path / "c.csv").write_text("id,categories\n" + "\n".join(packed) + "\n")
-    table = jobs.message_etl(spark, str(tmp_path / "m.csv"), str(tmp_path / "c.csv"), str(tmp_path / "t"))
+    table = jobs.message_etl(spark, str(tmp_path / "m.csv"), str(tmp_path / "c.csv"), ["related", "water"], str(tmp_path / "t"))
     assert table.columns == ["id", "message", "original", "genre", "related", "water"]
     assert table.count() == 80 and table.agg(F.max("related")).first()[0] == 1.0
     grid = [{"numTrees": 3, "maxDepth": 4}]
-    report = jobs.message_training(table, str(tmp_path / "model"), grid, folds=2)
+    report = jobs.message_training(table, str(tmp_path / "model"), grid, folds=2, num_features=256)
     scores = {(r.category, r.row): r.f1 for r in report.collect()}
     assert scores["water", "accuracy"] > 0.9 and scores["related", "accuracy"] == 1.0
 

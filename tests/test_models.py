@@ -1,5 +1,7 @@
 import pytest
 from helpers import rows_of
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -102,7 +104,7 @@ def test_vectors_have_unit_length_and_the_long_form_weights(spark, messages):
     from tidemark.operators import terms
 
     words = multilabel.tokenise(messages)
-    stages = multilabel.fit_vectors(words)
+    stages = multilabel.fit_vectors(words, features="vocabulary")
     vocabulary = stages[0].vocabulary
     vectors = words
     for stage in stages:
@@ -114,12 +116,30 @@ def test_vectors_have_unit_length_and_the_long_form_weights(spark, messages):
     assert got == pytest.approx({r.term: r.weight for r in long.collect()})
 
 
-def test_vocabulary_is_checked(messages, monkeypatch):
-    monkeypatch.setattr(multilabel, "MAX_VOCABULARY", 3)
+def test_features_are_hashed_unless_asked(messages):
     words = multilabel.tokenise(messages)
-    with pytest.raises(ValueError, match="hashing"):
-        multilabel.fit_vectors(words)
-    assert len(multilabel.fit_vectors(words, features="hashing", num_features=64)) == 3
+    assert isinstance(multilabel.fit_vectors(words)[0], HashingTF)
+    with pytest.raises(ValueError, match="unknown"):
+        multilabel.fit_vectors(words, features="other")
+
+
+def test_more_terms_than_positions(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(2000)) + (" good" if i % 2 else " bad")) for i in range(150)]
+    messages = spark.createDataFrame(rows, "id bigint, message string")
+    words = multilabel.tokenise(messages)
+    stages = multilabel.fit_vectors(words, features="vocabulary")
+    assert len(stages[0].vocabulary) == 300_002 > multilabel.NUM_FEATURES
+    row = PipelineModel(stages=multilabel.fit_vectors(words)).transform(words).first()
+    assert 100_000 < row.features.size < multilabel.NUM_FEATURES
+    assert row.features.norm(2) == pytest.approx(1.0)
+
+
+def test_null_labels_and_empty_folds(spark, message_model, messages):
+    scored = message_model.score(messages)
+    unknown = scored.withColumn("water", F.lit(None).cast("double"))
+    assert multilabel.subset_accuracy(unknown, ["water"]).first()[0] == 1.0
+    with pytest.raises(ValueError, match="folds"):
+        multilabel.grid_search(messages.filter("id = 1"), NAMES, [FOREST], folds=2)
 
 
 def test_scores_reports_and_one_class_labels(message_model, messages):
@@ -158,3 +178,19 @@ def test_grid_search(messages):
     best, scores = multilabel.grid_search(messages, NAMES, grid, folds=2)
     assert best == grid[0] and len(rows_of(scores)) == 2
     assert len(multilabel.SCRIPT_GRID) == 4 and len(multilabel.NOTEBOOK_GRID) == 6
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_stream_reads_one_file_or_a_folder_of_parts(spark, message_model, tmp_path, sf_dir, parts):
+    import shutil
+
+    from tidemark.sources import driver_tables
+
+    target = str(tmp_path / "documents.parquet")
+    if parts:
+        spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(parts).write.parquet(target)
+    else:
+        shutil.copyfile(f"{sf_dir}/documents.parquet", target)
+    stream = driver_tables.message_stream(spark, str(tmp_path))
+    scored = training.stream_scores(stream, message_model)
+    assert scored.count() == driver_tables.messages(spark, str(tmp_path)).count() > 0

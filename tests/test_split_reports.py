@@ -17,6 +17,16 @@ def test_exact_split_size(spark, n):
     assert sizes["test"] == -(-n // 5) and sum(sizes.values()) == n
 
 
+def test_rows_of_a_key_stay_on_one_side(spark):
+    df = spark.range(300).select((F.col("id") % 50).cast("string").alias("k"), "id")
+    sided = split.with_exact_side(df, "k")
+    assert sided.select("k", "side").distinct().count() == 50
+    assert 220 <= sided.filter("side = 'train'").count() <= 240
+    assert split.with_exact_side(df.limit(0), "k").count() == 0
+    plan = sided._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_splits_do_not_depend_on_partitions(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("k"))
     for sided in (split.with_side, split.with_exact_side):

@@ -33,7 +33,8 @@ def test_clean_text(spark, text, want):
     [
         ("$5 a<b", ["$", "5", "a", "<", "b"]),
         ("cannot cannot gonna", ["can", "not", "can", "not", "gon", "na"]),
-        ("wanna go wanna", ["wan", "na", "go", "wanna"]),
+        ("wanna go wanna", ["wan", "na", "go", "wan", "na"]),
+        ("wannabe iwanna", ["wannabe", "iwanna"]),
         ("scannot cannots", ["scannot", "cannots"]),
         ("``x", ["``", "x"]),
         ("", []),
@@ -119,3 +120,16 @@ def test_tfidf_against_brute_force(spark):
         want.update({(i, t): w / norm for t, w in raw.items()})
     assert got == pytest.approx(want)
     assert rows_of(terms.document_frequency(counts), "term", "df") == sorted(frequency.items())
+
+
+def test_all_kinds_of_blank_part_words(spark):
+    assert _one(spark, "a\u0085b\x1cc\x1fd e", clean_text) == "a b c d e"
+
+
+def test_messages_that_share_an_id_keep_their_own_lemmas(spark):
+    docs = spark.createDataFrame(
+        [(1, "cars stop"), (1, "storm road"), (2, "car roads"), (None, "roads"), (3, "")],
+        "id int, message string",
+    )
+    got = rows_of(wording.lemmatised(terms.tokens(docs)), "id", "tokens")
+    assert sorted(tokens for _, tokens in got) == [[], ["car", "road"], ["car", "stop"], ["road"], ["storm", "road"]]

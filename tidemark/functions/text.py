@@ -10,8 +10,8 @@ from tidemark.functions._cols import ColumnLike, as_column
 # The placeholder and the patterns of the message tokeniser.
 URL_PATTERN = "http[^ ]+"
 URL_PLACEHOLDER = "urlplaceholder"
-GAP_PATTERN = r"[\p{P}\s\p{Z}]+"
-BLANK_PATTERN = r"[\s\p{Z}]+"
+GAP_PATTERN = r"[\p{P}\s\p{Z}\x{85}\x{1C}-\x{1F}]+"
+BLANK_PATTERN = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]+"
 
 # The English stop words of the NLTK corpus.
 STOP_WORDS = (
@@ -29,10 +29,10 @@ STOP_WORDS = (
 ).split()
 
 # Symbols the word splitter sets apart, and the contractions it
-# divides, as (first half, second half). The last one needs a word after it.
+# divides, as (first half, second half). The last one needs a blank or the end after it.
 SPLIT_SYMBOLS = "`+|[$<>]"
 CONTRACTIONS = [("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me")]
-CONTRACTION_BEFORE_WORD = ("wan", "na")
+CONTRACTION_BEFORE_BLANK = ("wan", "na")
 
 _WORD_CHARACTER = r"[\p{L}\p{N}_]"
 
@@ -43,8 +43,8 @@ def _dividing_pattern() -> str:
     The literal comes before its look-behind, which then runs on few positions.
     """
     ends = [(first, f"{second}(?!{_WORD_CHARACTER})") for first, second in CONTRACTIONS]
-    first, second = CONTRACTION_BEFORE_WORD
-    ends.append((first, f"{second} "))
+    first, second = CONTRACTION_BEFORE_BLANK
+    ends.append((first, f"{second}(?: |$)"))
     halves = [f"{first}(?<!{_WORD_CHARACTER}{first})(?={end})" for first, end in ends]
     return "|".join([SPLIT_SYMBOLS, *halves])
 
@@ -87,5 +87,5 @@ def serving_words(text: ColumnLike) -> Column:
     """
     words = F.regexp_replace(as_column(text), r"(`+|[$<>;@#%&?!()\[\]{}\"])", " $1 ")
     words = F.regexp_replace(words, r"([:,])(?=[^0-9]|$)", " $1 ")
-    words = F.regexp_replace(words, r"\.[\s\p{Z}]*$", " . ")
+    words = F.regexp_replace(words, r"\.[\s\p{Z}\x{85}\x{1C}-\x{1F}]*$", " . ")
     return F.filter(F.split(words, BLANK_PATTERN), lambda word: word != "")

@@ -25,7 +25,6 @@ CHURN_PAGE = "Cancellation Confirmation"
 CANCEL_PAGES = ["Cancellation Confirmation", "Cancel"]
 
 HOURS = range(24)
-MAX_PAGES = 1000
 MILLIS_PER_SECOND = 1000
 
 
@@ -219,18 +218,24 @@ def lifetime_days(log: DataFrame) -> DataFrame:
     return per_user(log, {"lifetime_day": lifetime_aggregate()})
 
 
-def page_values(log: DataFrame) -> list[str]:
-    """The pages that occur, sorted: one distinct job, refused beyond ``MAX_PAGES``."""
-    pages = log.filter(F.col("page").isNotNull()).select("page").distinct()
-    found = pages.limit(MAX_PAGES + 1).collect()
-    if len(found) > MAX_PAGES:
-        raise ValueError(f"more than {MAX_PAGES} pages are too many for columns")
-    return sorted(row.page for row in found)
+def page_values(log: DataFrame) -> DataFrame:
+    """(page) rows: the pages that occur, without those of cancelling."""
+    kept = log.filter(F.col("page").isNotNull() & ~F.col("page").isin(CANCEL_PAGES))
+    return kept.select("page").distinct()
 
 
-def page_pivot(log: DataFrame, pages: list[str] | None = None) -> DataFrame:
-    """One column per page with the number of events of the user."""
-    pages = page_values(log) if pages is None else pages
+def page_counts(log: DataFrame) -> DataFrame:
+    """(label, userId, page, num_events) rows; needs no list of pages."""
+    counts = (
+        log.filter(F.col("userId").isNotNull() & ~F.col("page").isin(CANCEL_PAGES))
+        .groupBy("userId", "page")
+        .agg(F.count(F.lit(1)).alias("num_events"))
+    )
+    return counts.join(churn_labels(log), "userId").select("label", "userId", "page", "num_events")
+
+
+def page_pivot(log: DataFrame, pages: list[str]) -> DataFrame:
+    """One column per page named with the number of events of the user."""
     kept = [page for page in pages if page not in CANCEL_PAGES]
     names = {page: suffix_name(page, "_pagecnt") for page in kept}
     counts = (

@@ -9,7 +9,6 @@ from tidemark.functions import display_name
 from tidemark.operators.quality import to_rows
 
 TEXT_COLUMNS = ["id", "message", "original", "genre"]
-MAX_CATEGORIES = 1000
 
 
 def merge_messages(messages: DataFrame, categories: DataFrame, null_keys: bool = False) -> DataFrame:
@@ -31,18 +30,12 @@ def _packed(text: str) -> Column:
     )
 
 
-def category_names(df: DataFrame, column: str = "categories") -> list[str]:
-    """Category names that occur in any row, in their order of first position."""
+def category_names(df: DataFrame, column: str = "categories") -> DataFrame:
+    """(name, position) rows: the category names that occur and their first position."""
     items = df.select(F.posexplode(F.split(column, ";")).alias("position", "item"))
-    names = (
-        items.groupBy(F.split_part("item", F.lit("-"), F.lit(1)).alias("name"))
-        .agg(F.min("position").alias("position"))
-        .orderBy("position", "name")
+    return items.groupBy(F.split_part("item", F.lit("-"), F.lit(1)).alias("name")).agg(
+        F.min("position").alias("position")
     )
-    found = names.limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories are too many for columns")
-    return [row.name for row in found]
 
 
 def expand_categories(df: DataFrame, names: list[str], column: str = "categories") -> DataFrame:
@@ -95,10 +88,11 @@ def clean_messages(messages: DataFrame, categories: DataFrame, names: list[str])
 
     Both sides drop repeated rows before the join. Pairs of distinct rows are
     distinct, so nothing is left to drop after it, and copies of one id do not
-    multiply each other.
+    multiply each other. Both sides are dealt by id once; that serves the grouping
+    by all columns and the join.
     """
-    labels = expand_categories(categories, names).dropDuplicates()
-    return two_to_one(messages.dropDuplicates().join(labels, on="id"), names)
+    labels = expand_categories(categories, names).repartition("id").dropDuplicates()
+    return two_to_one(messages.repartition("id").dropDuplicates().join(labels, on="id"), names)
 
 
 def genre_counts(cleaned: DataFrame) -> DataFrame:

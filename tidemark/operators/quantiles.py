@@ -10,8 +10,6 @@ from tidemark.sources import stored
 # The ladder of nested quantiles drawn by a letter-value plot.
 LADDER = [1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 31 / 32]
 
-_MAX_GROUPS = 10_000
-
 
 def exact_quantiles(
     df: DataFrame,
@@ -28,8 +26,8 @@ def exact_quantiles(
     since they are read three times. Each group is then cut into value buckets
     along approximate quantiles of its distinct values; ranks are found per
     bucket, so no task sees more than about 1/``buckets`` of them. The cut points
-    (one bounded row per group) are fetched once, which keeps them the same on a
-    task retry; they steer only the balance, not the result. Nulls are skipped.
+    (one bounded row per group) are stored, which keeps them the same on a task
+    retry; they steer only the balance, not the result. Nulls are skipped.
     """
     probabilities = LADDER if probabilities is None else probabilities
     rows = df.filter(F.col(value).isNotNull()).select(
@@ -41,20 +39,14 @@ def exact_quantiles(
 
     steps = [i / buckets for i in range(1, buckets)]
     cuts_of_group = F.percentile_approx("__value", steps).alias("__cuts")
-    found = counts.groupBy(*keys).agg(cuts_of_group).limit(_MAX_GROUPS + 1).collect()
-    if len(found) > _MAX_GROUPS:
-        raise ValueError(f"more than {_MAX_GROUPS} groups: use percentile_approx per group")
-    key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([*(f"`{k}` {key_types[k]}" for k in keys), "__cuts array<double>"])
-    cuts = df.sparkSession.createDataFrame(
-        [(*[row[k] for k in keys], sorted(set(row["__cuts"]))) for row in found], schema
-    )
+    # Stored, so that a retried task sees the same cuts; joined like any table of its size.
+    cuts = stored(counts.groupBy(*keys).agg(cuts_of_group), "value-cuts")
 
-    below = F.size(F.filter("__cuts", lambda cut: cut < F.col("__value")))
+    below = F.size(F.filter(F.array_distinct("__cuts"), lambda cut: cut < F.col("__value")))
     matches = [F.col(f"v.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
     bucketed = (
         counts.alias("v")
-        .join(F.broadcast(cuts.alias("c")), matches)
+        .join(cuts.alias("c"), matches)
         .select(*[F.col(f"v.{k}") for k in keys], "__value", "__copies", below.alias("__bucket"))
     )
 

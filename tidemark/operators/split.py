@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HEX_DIGITS = 8
-_BUCKET_DIGITS = 5
+_STEP = 3
 
 
 def key_hash(key: str, seed: int) -> Column:
@@ -36,32 +36,32 @@ def train_and_test(
 
 
 def with_exact_side(df: DataFrame, key: str, train: float = 0.8, seed: int = 2022) -> DataFrame:
-    """Add ``side`` so that exactly n - ceil(n * (1 - train)) rows are for training.
+    """Add ``side`` so that n - ceil(n * (1 - train)) rows, or as many as fit, are for training.
 
-    Rows are taken in hash order of a unique key. Only the one hash bucket the
-    boundary falls in is ranked row by row; the others are settled by counts of
-    at most 16^5 buckets.
+    Rows are taken in hash order of the key; all rows of a key are on one side, so
+    with unique keys the number is met exactly. The first hash beyond the quota is
+    found by counts per prefix, ``_STEP`` digits more in each of three rounds, and is
+    one value of the plan: the rows themselves are neither joined nor shuffled.
     """
-    hashed = df.withColumn("__hash", key_hash(key, seed)).withColumn(
-        "__bucket", F.substring("__hash", 1, _BUCKET_DIGITS)
-    )
-    # One row per bucket, bounded whatever the table size, so one task may sort it.
-    upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = (
-        hashed.groupBy("__bucket")
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .withColumn("__upto", F.sum("__size").over(upto))
-        .withColumn("__total", F.sum("__size").over(Window.partitionBy(F.lit(1))))
-    )
-    quota = F.col("__total") - F.ceil(F.round(F.col("__total") * (1 - train), 9))
-    sizes = sizes.select("__bucket", (quota - (F.col("__upto") - F.col("__size"))).alias("__room"), "__size")
-    joined = hashed.join(sizes, "__bucket")
-    settled = (F.col("__room") >= F.col("__size")) | (F.col("__room") <= 0)
-    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy("__hash", key))
-    open_rows = joined.filter(~settled).withColumn("__train", inside <= F.col("__room"))
-    closed_rows = joined.filter(settled).withColumn("__train", F.col("__room") > 0)
-    side = F.when(F.col("__train"), "train").otherwise("test")
-    return closed_rows.unionByName(open_rows).select(*df.columns, side.alias("side"))
+    hashed = df.select(key_hash(key, seed).alias("__hash"))
+    total = hashed.agg(F.count(F.lit(1))).scalar()
+    quota = total - F.ceil(F.round(total * (1 - train), 9))
+    before, inside = F.lit(0).cast("bigint"), hashed
+    for digits in (_STEP, 2 * _STEP, 32):
+        prefix = F.substring("__hash", 1, digits)
+        # At most 16^_STEP rows in the first two rounds, and in the last only the
+        # hashes that share the prefix.
+        order = Window.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = inside.groupBy(prefix.alias("__prefix")).agg(F.count(F.lit(1)).alias("__size"))
+        upto = counts.select("__prefix", "__size", (before + F.sum("__size").over(order)).alias("__upto"))
+        first = upto.filter(F.col("__upto") > quota).agg(
+            F.min(F.struct("__prefix", (F.col("__upto") - F.col("__size")).alias("__before"))).alias("__first")
+        )
+        found = first.scalar()
+        before, inside = found.getField("__before"), hashed.filter(prefix == found.getField("__prefix"))
+    beyond = found.getField("__prefix")
+    side = F.when(F.coalesce(key_hash(key, seed) >= beyond, F.lit(False)), "test").otherwise("train")
+    return df.withColumn("side", side)
 
 
 def frequency_index(df: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import device_name, state_code
@@ -49,13 +49,31 @@ def _plain_measures(log: DataFrame, pages: list[str]) -> DataFrame:
     return activity.per_user(timed, aggregates).filter("__other_pages").drop("__other_pages")
 
 
-def _median_and_latest(log: DataFrame, order: list[str]) -> DataFrame:
-    """The median sketch and the latest attributes, whose state has no fixed width."""
-    attributes = {
+def _order(log: DataFrame) -> list[str]:
+    """The columns that say which row of a user is the latest."""
+    return ["ts", "event_id"] if "event_id" in log.columns else ["ts", "sessionId", "itemInSession"]
+
+
+def _attributes() -> dict[str, Column]:
+    return {
         "gender": F.col("gender"),
         "state": state_code("location"),
         "device": device_name("userAgent"),
     }
+
+
+def latest_attributes(log: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """(userId, gender, state, device) of the users of the feature table, without its measures."""
+    values = [c.alias(n) for n, c in _attributes().items()]
+    latest = F.max(F.struct(*(order or _order(log)), *values)).alias("__latest")
+    users = log.filter(F.col("userId").isNotNull()).groupBy("userId")
+    found = users.agg(latest, activity.has_other_pages().alias("__other_pages"))
+    return found.filter("__other_pages").select("userId", *[f"__latest.{n}" for n in _attributes()])
+
+
+def _median_and_latest(log: DataFrame, order: list[str]) -> DataFrame:
+    """The median sketch and the latest attributes, whose state has no fixed width."""
+    attributes = _attributes()
     latest = F.max(F.struct(*order, *[c.alias(n) for n, c in attributes.items()]))
     return (
         log.groupBy("userId")
@@ -81,7 +99,7 @@ def _distinct_measures(log: DataFrame) -> DataFrame:
 
 def user_features(
     log: DataFrame,
-    pages: list[str] | None = None,
+    pages: list[str],
     grain: str = "user",
     order: list[str] | None = None,
 ) -> DataFrame:
@@ -89,21 +107,15 @@ def user_features(
 
     ``grain="user"`` gives one row per user with the latest gender, state and
     device. ``grain="reference"`` gives one row per combination of the values a
-    user ever had. ``pages`` fixes the page columns; without it they are looked
-    up. ``order`` breaks ties of the latest row.
+    user ever had. ``pages`` names the page columns (``activity.page_values`` lists
+    those that occur). ``order`` breaks ties of the latest row.
 
     Three aggregations instead of one, each on its own columns: fixed-width
     measures, variable-width state, distinct counts. They are hashed by user and
     join without a further exchange. A single aggregation would copy every row
     for each distinct count and carry the sketch through each copy.
     """
-    pages = activity.page_values(log) if pages is None else pages
-    if order is None:
-        order = ["ts", "event_id"] if "event_id" in log.columns else [
-            "ts",
-            "sessionId",
-            "itemInSession",
-        ]
+    order = order or _order(log)
     users = log.filter(F.col("userId").isNotNull())
     features = (
         _plain_measures(users, pages)

@@ -32,22 +32,21 @@ def ingest_log(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 
 def churn_job(
-    log: DataFrame, model_path: str, grid: dict[str, list] | None = None
+    log: DataFrame, pages: list[str], model_path: str, grid: dict[str, list] | None = None
 ) -> DataFrame:
-    """Features, tuned linear SVM, saved model; returns accuracy and F1 on test users."""
-    run = training.tune_churn(user_features(log), grid)
+    """Features with a count for each page named, tuned linear SVM, saved model; returns accuracy and F1 on test users."""
+    run = training.tune_churn(user_features(log, pages), grid)
     models.save_model(run.model, model_path)
     results = run.tuned.transform(run.test).withColumn("model", F.lit("linear_svm"))
     return reports.accuracy_and_f1(results, ["model"])
 
 
 def message_etl(
-    spark: SparkSession, messages_path: str, categories_path: str, target: str
+    spark: SparkSession, messages_path: str, categories_path: str, names: list[str], target: str
 ) -> DataFrame:
-    """Two CSV files to the cleaned label table."""
+    """Two CSV files to the cleaned table with one column per label named."""
     configure(spark)
     packed = read_categories(spark, categories_path)
-    names = messages.category_names(packed)
     cleaned = messages.clean_messages(read_messages(spark, messages_path), packed, names)
     write_table(cleaned, target)
     return read_table(spark, target)

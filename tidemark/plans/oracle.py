@@ -38,9 +38,9 @@ activity_log AS (
     CASE WHEN NOT anon THEN concat('L', CAST(user_id AS VARCHAR)) END AS lastName,
     CASE WHEN NOT anon THEN CASE WHEN user_id % 2 = 0 THEN 'M' ELSE 'F' END END AS gender,
     CASE WHEN NOT anon THEN concat('City', CAST(c_nationkey AS VARCHAR), ', ',
-      CASE c_nationkey % 4 WHEN 0 THEN 'CA' WHEN 1 THEN 'TX' WHEN 2 THEN 'PA' ELSE 'WI' END) END
+      CASE (c_nationkey + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % 4 WHEN 0 THEN 'CA' WHEN 1 THEN 'TX' WHEN 2 THEN 'PA' ELSE 'WI' END) END
       AS location,
-    CASE WHEN NOT anon THEN CASE user_id % 5
+    CASE WHEN NOT anon THEN CASE (user_id + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) % 5
       WHEN 0 THEN 'Mozilla/5.0 (Windows NT 6.1; WOW64)'
       WHEN 1 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4)'
       WHEN 2 THEN 'Mozilla/5.0 (X11; Linux x86_64)'
@@ -87,8 +87,11 @@ messages AS (
   FROM documents),
 categories AS (
   SELECT doc_id AS id,
-    concat('related-', CAST(quality + toxic AS VARCHAR), ';quality-', CAST(quality AS VARCHAR),
-           ';toxic-', CAST(toxic AS VARCHAR)) AS categories
+    CASE WHEN doc_id % 7 = 0
+      THEN concat('quality-', CAST(quality AS VARCHAR), ';related-', CAST(quality + toxic AS VARCHAR),
+                  ';toxic-', CAST(toxic AS VARCHAR))
+      ELSE concat('related-', CAST(quality + toxic AS VARCHAR), ';quality-', CAST(quality AS VARCHAR),
+                  ';toxic-', CAST(toxic AS VARCHAR)) END AS categories
   FROM labels),
 merged AS (SELECT m.*, c.categories FROM messages m JOIN categories c ON m.id = c.id),
 wide AS (
@@ -113,7 +116,8 @@ _RULES = """
 
 _URL_MESSAGES = """
 texts AS (
-  SELECT d.doc_id AS id, concat_ws(' ', p.url, d.text) AS message
+  SELECT d.doc_id AS id, concat_ws(' ', p.url, d.text)
+    || CASE WHEN d.doc_id % 10 = 0 THEN ' we wanna go wanna' ELSE '' END AS message
   FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id)"""
 
 
@@ -138,11 +142,12 @@ lemmatised AS (
 _TEXT = rf"""{_URL_MESSAGES},
 clean AS (
   SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(lower(message),
-    'http[^ ]+', 'urlplaceholder', 'g'), '\p{{P}}+', ' ', 'g'), '[\s\p{{Z}}]+', ' ', 'g'))
+    'http[^ ]+', 'urlplaceholder', 'g'), '\p{{P}}+', ' ', 'g'), '[\s\p{{Z}}\x{{85}}\x{{1C}}-\x{{1F}}]+', ' ', 'g'))
     AS clean_text
   FROM texts),
 padded AS (
-  SELECT id, regexp_replace(regexp_replace(regexp_replace(clean_text, '(`+|[$<>])', ' \1 ', 'g'),
+  SELECT id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(clean_text,
+    '(`+|[$<>])', ' \1 ', 'g'), '\b(wan)(na)( |$)', '\1 \2\3', 'g'),
     '\b(can)(not)\b|\b(gim)(me)\b|\b(gon)(na)\b|\b(got)(ta)\b|\b(lem)(me)\b',
     '\1\3\5\7\9 ', 'g'), ' +', ' ', 'g') AS text
   FROM clean),
@@ -360,6 +365,16 @@ _log(
     f"""SELECT label, userId, {_PAGE_COUNTS} FROM log JOIN labels USING (userId)
     WHERE page NOT IN ('Cancellation Confirmation', 'Cancel') GROUP BY label, userId""",
 )
+_log(
+    "page_values",
+    """SELECT DISTINCT page FROM log
+    WHERE page NOT IN ('Cancellation Confirmation', 'Cancel')""",
+)
+_log(
+    "page_counts",
+    """SELECT label, userId, page, count(*) AS num_events FROM log JOIN labels USING (userId)
+    WHERE page NOT IN ('Cancellation Confirmation', 'Cancel') GROUP BY label, userId, page""",
+)
 _log("hour_pivot", f"SELECT userId, {_HOUR_COUNTS} FROM log GROUP BY userId")
 _log("hour_pivot_share", _user(_HOUR_SHARES))
 _log("hour_share_joined", _user(_HOUR_SHARES))
@@ -534,7 +549,16 @@ _messages(
 )
 _messages(
     "categories_name_check",
-    "SELECT id, regexp_replace(categories, '-[0-9]+', '', 'g') AS names FROM categories",
+    """SELECT id, names FROM (
+      SELECT id, regexp_replace(categories, '-[0-9]+', '', 'g') AS names FROM categories)
+    WHERE names <> 'related;quality;toxic'""",
+)
+_messages(
+    "category_names",
+    """SELECT split_part(item, '-', 1) AS name, min(position) AS position FROM (
+      SELECT unnest(string_split(categories, ';')) AS item,
+             CAST(unnest(range(len(string_split(categories, ';')))) AS BIGINT) AS position
+      FROM categories) GROUP BY name""",
 )
 _messages("clean_messages", "SELECT * FROM cleaned")
 _messages("clean_merged_messages", "SELECT * FROM cleaned")
@@ -577,9 +601,9 @@ padded AS (
     regexp_replace(message, '(`+|[$<>;@#%&?!()\[\]{{}}"])', ' \1 ', 'g'),
     '([:,])([^0-9])', ' \1 \2', 'g'), '([:,])([^0-9])', ' \1 \2', 'g'), '([:,])$', ' \1 ') AS text
   FROM texts),
-ended AS (SELECT id, regexp_replace(text, '\.[\s\p{{Z}}]*$', ' . ') AS text FROM padded),
+ended AS (SELECT id, regexp_replace(text, '\.[\s\p{{Z}}\x{{85}}\x{{1C}}-\x{{1F}}]*$', ' . ') AS text FROM padded),
 lists AS (
-  SELECT id, list_filter(string_split_regex(text, '[\s\p{{Z}}]+'), lambda w: w <> '') AS words
+  SELECT id, list_filter(string_split_regex(text, '[\s\p{{Z}}\x{{85}}\x{{1C}}-\x{{1F}}]+'), lambda w: w <> '') AS words
   FROM ended),
 words AS (
   SELECT id, position, term FROM (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,6 +239,16 @@ def page_pivot(spark, sf_dir):
     return activity.page_pivot(log(spark, sf_dir), PAGES)
 
 
+@query
+def page_values(spark, sf_dir):
+    return activity.page_values(log(spark, sf_dir))
+
+
+@query
+def page_counts(spark, sf_dir):
+    return activity.page_counts(log(spark, sf_dir))
+
+
 @query
 def hour_pivot(spark, sf_dir):
     return activity.hour_pivot(log(spark, sf_dir))
@@ -411,10 +422,13 @@ def categories_long(spark, sf_dir):
 
 @query
 def categories_name_check(spark, sf_dir):
-    """Rows whose names differ from a wrong expectation: all of them."""
-    return messages.name_mismatches(
-        views.categories(spark, sf_dir), ["quality", "related", "toxic"]
-    )
+    """Rows whose names, in order, are not the expected ones."""
+    return messages.name_mismatches(views.categories(spark, sf_dir), CATEGORY_NAMES)
+
+
+@query
+def category_names(spark, sf_dir):
+    return messages.category_names(views.categories(spark, sf_dir))
 
 
 @query
@@ -495,7 +509,7 @@ def doc_frequency(spark, sf_dir):
 
 @query
 def tfidf_long(spark, sf_dir):
-    return wording.message_tfidf(tokenised(spark, sf_dir))
+    return wording.message_tfidf(tokenised(spark, sf_dir), views.messages(spark, sf_dir))
 
 
 # --- splits, indexes and reports ---------------------------------------------
@@ -507,7 +521,7 @@ def feature_table(spark, sf_dir):
 
 @query
 def index_states(spark, sf_dir):
-    return split.frequency_index(feature_table(spark, sf_dir), "state")
+    return split.frequency_index(churn.latest_attributes(log(spark, sf_dir)), "state")
 
 
 @query
@@ -578,14 +592,20 @@ def table_roundtrip(spark, sf_dir):
 
 # --- models -----------------------------------------------------------------
 
-# Small searches for the registered queries; the functions default to the full ones.
-SMALL_SVC_GRID = {"maxIter": [20, 50], "regParam": [0.01, 0.1]}
+# Small forests for the registered queries; the functions default to the full ones.
 SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
 SMALL_FOREST_GRID = [{**SMALL_FOREST, "minInstancesPerNode": least} for least in (2, 3)]
 
 
+@lru_cache(maxsize=1)
+def _search(application: str, sf_dir: str) -> training.ChurnRun:
+    spark = SparkSession.getActiveSession()
+    return training.tune_churn(feature_table(spark, sf_dir), models.NOTEBOOK_GRID)
+
+
 def _tuned(spark, sf_dir):
-    return training.tune_churn(feature_table(spark, sf_dir), SMALL_SVC_GRID)
+    """The whole search, once for all queries that show a side of it."""
+    return _search(spark.sparkContext.applicationId, sf_dir)
 
 
 def _message_model(spark, sf_dir):

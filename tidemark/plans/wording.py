@@ -26,9 +26,9 @@ def lemmatised(tokenised: DataFrame, lower_after: bool = False) -> DataFrame:
     return terms.lemmatise(tokenised, lemmas, lower_after=lower_after)
 
 
-def message_tfidf(tokenised: DataFrame) -> DataFrame:
-    """TF-IDF weights of lemmas."""
+def message_tfidf(tokenised: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """TF-IDF weights of lemmas; ``documents`` may be a cheaper table with the same rows."""
     forms, lemmas = corpus_terms(tokenised)
     counts = stored(terms.lemma_counts(forms, lemmas), "lemma-counts")
     frequencies = stored(terms.document_frequency(counts), "document-frequency")
-    return terms.tfidf(counts, tokenised.select("id"), frequencies)
+    return terms.tfidf(counts, tokenised if documents is None else documents, frequencies)

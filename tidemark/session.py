@@ -18,6 +18,10 @@ RUNTIME_SETTINGS = {
     # A hot user is split even where the join feeds an aggregation on the same
     # key and splitting it costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Aggregates whose state has no fixed width (medians, latest rows) combine this
+    # many keys per task in memory before they fall back to sorting; the default is
+    # 128. A state here takes a few kilobytes, so a task needs up to about 100 MB.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 # Settings fixed when a session starts.

@@ -8,7 +8,6 @@ from tidemark.sources.files import (
     read_listings,
     read_messages,
     read_table,
-    spread,
     stored,
     write_csv,
     write_json,
@@ -35,7 +34,6 @@ __all__ = [
     "read_listings",
     "read_messages",
     "read_table",
-    "spread",
     "stored",
     "write_csv",
     "write_json",

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.ranking import row_number_by_bucket
-from tidemark.sources.files import spread
 
 _DAY_MILLIS = 86_400_000
 
@@ -80,9 +79,12 @@ def activity_log(
         .when(F.col("event_type") == "signup", "Home")
         .otherwise("Error")
     )
-    state = _choose(F.col("c_nationkey") % 4, {0: "CA", 1: "TX", 2: "PA"}, "WI")
+    # State and device change within a user, so that the latest differs from the rest.
+    moved = F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    switched = F.when(F.col("event_id") % 3 == 0, 1).otherwise(0)
+    state = _choose((F.col("c_nationkey") + moved) % 4, {0: "CA", 1: "TX", 2: "PA"}, "WI")
     agent = _choose(
-        user % 5,
+        (user + switched) % 5,
         {
             0: "Mozilla/5.0 (Windows NT 6.1; WOW64)",
             1: "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4)",
@@ -124,7 +126,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_shipdate", "l_linenumber", "l_extendedprice"
     )
-    return spread(lines).select(
+    return lines.select(
         F.col("l_partkey").alias("listing_id"),
         F.col("l_shipdate").cast("date").cast("string").alias("date"),
         F.when(F.col("l_linenumber") != 7, money).alias("price"),
@@ -151,39 +153,43 @@ def _message_columns(text: Column) -> list[Column]:
 
 
 def messages(spark: SparkSession, sf_dir: str, with_urls: bool = False) -> DataFrame:
-    """Documents as messages; ``with_urls`` puts the page address before the text."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    """Documents as messages; ``with_urls`` puts the page address before the text.
+
+    A tenth of those also ends in words the splitter divides.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     text = F.col("text")
     if with_urls:
         pages = table(spark, sf_dir, "pages").select("page_id", "url")
         documents = documents.join(pages, documents.doc_id == pages.page_id, "left")
-        text = F.concat_ws(" ", "url", "text")
+        more = F.when(F.col("doc_id") % 10 == 0, " we wanna go wanna").otherwise("")
+        text = F.concat(F.concat_ws(" ", "url", "text"), more)
     return documents.select(*_message_columns(text))
 
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as a stream over the files of ``documents``."""
+    """The same messages as a stream over ``documents``, one file or a folder of parts.
+
+    The pattern stands for a folder to Spark's stream, whichever of the two it finds.
+    """
     schema = table(spark, sf_dir, "documents").schema
-    documents = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents*.parquet")
-        .parquet(sf_dir)
-    )
+    documents = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet*")
     return documents.select(*_message_columns(F.col("text")))
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed label text; ``related`` reaches 2."""
-    parts = [
-        F.lit("related-"),
-        (F.col("quality") + F.col("toxic")).cast("string"),
-        F.lit(";quality-"),
-        F.col("quality").cast("string"),
-        F.lit(";toxic-"),
-        F.col("toxic").cast("string"),
-    ]
+    """Packed label text; ``related`` reaches 2, and every seventh row has another order."""
+    values = {
+        "related": F.col("quality") + F.col("toxic"),
+        "quality": F.col("quality"),
+        "toxic": F.col("toxic"),
+    }
+    packed = {n: F.concat(F.lit(f"{n}-"), v.cast("string")) for n, v in values.items()}
+    usual = F.concat_ws(";", *packed.values())
+    other = F.concat_ws(";", packed["quality"], packed["related"], packed["toxic"])
     return table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("id"), F.concat(*parts).alias("categories")
+        F.col("doc_id").alias("id"),
+        F.when(F.col("doc_id") % 7 == 0, other).otherwise(usual).alias("categories"),
     )
 
 

@@ -93,16 +93,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, dealt out evenly for heavy work per row.
-
-    A few unsplittable files would keep most cores idle. A large input has more
-    splits than cores and passes as it is, without a shuffle. For plain scans.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new path under the shared folder and read back.
 
