@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from tidemark.llm import words
 from tidemark.llm.common import slices, texts_of, unpacked
 from tidemark.session import scratch_path
+from tidemark.sources import stored
 
 LEXICON = 1 << 16
 # Pieces a counting task holds at once, see ``_shrink``.
@@ -365,10 +366,11 @@ def _shrink(counts: Counter) -> Counter:
 
 
 def frequent(docs: DataFrame, size: int = LEXICON) -> list[bytes]:
-    """The ``size`` most frequent pieces of all documents.
+    """Up to ``size`` of the most frequent pieces of all documents.
 
-    Tasks count over all their rows in bounded memory; sums meet by aggregation, and
-    only the ``size`` largest come to the driver.
+    Tasks count over all their rows in bounded memory; sums meet by aggregation. A
+    histogram of the sums, in steps of an eighth of a power of two, gives the least
+    sum that at most ``size`` pieces reach, and only those come to the driver.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,8 +389,18 @@ def frequent(docs: DataFrame, size: int = LEXICON) -> list[bytes]:
         )
 
     counted = docs.select("text").mapInArrow(run, "word binary, times bigint")
-    top = counted.groupBy("word").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "word").limit(size)
-    return [bytes(row.word) for row in top.collect() if len(row.word) <= TOGETHER]
+    sums = stored(counted.groupBy("word").agg(F.sum("times").alias("times")), "pieces")
+    step = F.floor(F.log2("times") * 8).cast("int")
+    room, least = size, None
+    for row in sums.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row.step
+    if least is None:
+        return []
+    top = sums.filter(step >= least).select("word").collect()
+    return [bytes(row.word) for row in top if len(row.word) <= TOGETHER]
 
 
 def publish(spark: SparkSession, block: bytes) -> str:
