@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.functions.text import STOP_WORDS
+from tidemark.sources.driver_tables import PAGES
 
 ORACLE: dict[str, str] = {}
 
@@ -629,6 +630,44 @@ _log(
       CAST(row_number() OVER (ORDER BY count DESC, state) - 1 AS DOUBLE) AS index
     FROM (SELECT state, count(*) AS count FROM features GROUP BY state)""",
 )
+_INDEXED = ["gender", "state", "device"]
+
+
+def _vectors() -> str:
+    counted = [p for p in PAGES if p not in ("Cancellation Confirmation", "Cancel")]
+    numbers = [
+        "num_artists", "sum_length", "mean_length", "max_length", "min_length", "median_length", "is_paid",
+        *(p.lower().replace(" ", "") + "_pagecnt" for p in counted),
+        "lifetime_day", "num_songs", "num_unique_songs", "avg_times_per_song",
+        *(f"num_pages_hr{h}" for h in range(24)), "has_songs",
+    ]
+    filled = [
+        f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" if c != "has_songs"
+        else "CAST(CASE WHEN num_songs > 0 THEN 1 ELSE 0 END AS DOUBLE) AS has_songs"
+        for c in numbers
+    ]
+    indexes = "".join(
+        f""", {c}_index AS (
+      SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS i,
+             (SELECT count(DISTINCT {c}) FROM train) AS n
+      FROM train GROUP BY {c})"""
+        for c in _INDEXED
+    )
+    unseen = ", ".join(
+        f"coalesce((SELECT i FROM {c}_index x WHERE x.{c} = f.{c}), (SELECT CAST(count(*) AS DOUBLE) FROM {c}_index))"
+        f" AS {c}_idx"
+        for c in _INDEXED
+    )
+    names = [*numbers, *(f"{c}_idx" for c in _INDEXED)]
+    rows = " UNION ALL ".join(
+        f"SELECT userId, CAST({k} AS BIGINT) AS position, round({c}, 6) AS value FROM vectors"
+        for k, c in enumerate(names)
+    )
+    return f"""{_FEATURES}{_LATEST}, train AS (
+      SELECT * FROM features WHERE substr(md5('2022:' || userId), 1, 8) < 'cccccccc'){indexes},
+    vectors AS (SELECT userId, {", ".join(filled)}, {unseen} FROM features f) {rows}"""
+
+
 _log(
     "split_users",
     """SELECT userId, label,
@@ -687,3 +726,31 @@ ORACLE["json_roundtrip"] = f"WITH {_BASE_LOG}\nSELECT {_json_columns} FROM activ
 _prices("csv_roundtrip", "SELECT listing_id, date, price, adjusted_price FROM calendar")
 _messages("csv_messages_roundtrip", "SELECT id, message, original, genre FROM messages")
 _messages("table_roundtrip", "SELECT * FROM cleaned")
+
+# --- vectors and what fitted models must hold to ------------------------------
+
+_log("feature_vectors", _vectors())
+_text(
+    "tfidf_vectors",
+    """, plain AS (SELECT id, term, count(*) AS n FROM kept GROUP BY id, term),
+    seen AS (SELECT term, count(*) AS df FROM plain GROUP BY term),
+    weights AS (
+      SELECT id, term, n * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
+      FROM plain JOIN seen USING (term))
+    SELECT id, term, CAST(round(CAST(w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS weight FROM weights""",
+)
+_messages(
+    "genre_ranking",
+    """SELECT genre, num_messages, row_number() OVER (ORDER BY num_messages DESC, genre) AS place
+    FROM (SELECT genre, count(message) AS num_messages FROM cleaned WHERE genre IS NOT NULL GROUP BY genre)""",
+)
+_log(
+    "churn_scores_check",
+    f"{_FEATURES}{_LATEST} SELECT userId, label, 1::BIGINT AS binary, 1::BIGINT AS same FROM features",
+)
+# The grid has two values of each of two parameters.
+ORACLE["svc_search_check"] = """SELECT 2 * 2::BIGINT AS points, 1::BIGINT AS best_is_highest,
+  (SELECT CAST(count(DISTINCT position) AS BIGINT) FROM ({vectors})) AS inputs""".format(
+    vectors=ORACLE["feature_vectors"]
+)
+ORACLE["stream_check"] = """SELECT doc_id AS id, 1::BIGINT AS binary, 1::BIGINT AS same FROM documents"""

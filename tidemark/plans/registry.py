@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean_text
@@ -524,6 +526,37 @@ def index_states(spark, sf_dir):
     return split.frequency_index(churn.latest_attributes(log(spark, sf_dir)), "state")
 
 
+@query
+def feature_vectors(spark, sf_dir):
+    """The assembled vectors of all users, with string indexes fitted on training users."""
+    filled = churn.fill_song_measures(feature_table(spark, sf_dir))
+    _, train, test = models.prepare(filled)
+    values = vector_to_array("features")
+    return train.unionByName(test).select("userId", F.posexplode(values).alias("position", "value"))
+
+
+@query
+def tfidf_vectors(spark, sf_dir):
+    """The vectors a forest gets, turned back into terms and weights."""
+    words = stored(tokenised(spark, sf_dir).select("id", "tokens"), "tokens")
+    stages = multilabel.fit_vectors(words, features="vocabulary")
+    names = spark.createDataFrame(list(enumerate(stages[0].vocabulary)), "position int, term string")
+    vectors = PipelineModel(stages=stages).transform(words)
+    found = vectors.select("id", F.posexplode(vector_to_array("features")).alias("position", "weight"))
+    found = found.filter(F.col("weight") != 0)
+    return found.join(names, "position").select("id", "term", "weight")
+
+
+@query
+def genre_ranking(spark, sf_dir):
+    """Genres by number of messages, most first, with their place in that order."""
+    counts = messages.genre_counts(cleaned(spark, sf_dir))
+    ordered = counts.orderBy(F.desc("num_messages"), "genre")
+    # One row per genre.
+    place = F.row_number().over(Window.orderBy(F.desc("num_messages"), "genre"))
+    return ordered.withColumn("place", place)
+
+
 @query
 def split_users(spark, sf_dir):
     users = activity.churn_labels(log(spark, sf_dir))
@@ -651,23 +684,55 @@ def churn_scores(spark, sf_dir):
 
 
 @query
-def message_report(spark, sf_dir):
-    return training.message_report(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+def churn_scores_check(spark, sf_dir):
+    """For every user: is the loaded model's score one of 0 and 1, and that of the fitted model?"""
+    features = churn.fill_song_measures(feature_table(spark, sf_dir))
+    path = scratch_path(spark, "churn-model")
+    fitted = _tuned(spark, sf_dir).model
+    models.save_model(fitted, path)
+    loaded = models.load_model(path).transform(features).select("userId", "label", "prediction")
+    first = fitted.transform(features).select("userId", F.col("prediction").alias("fitted"))
+    joined = loaded.join(first, "userId")
+    return joined.select(
+        "userId",
+        "label",
+        F.col("prediction").isin(0.0, 1.0).alias("binary"),
+        (F.col("prediction") == F.col("fitted")).alias("same"),
+    )
 
 
 @query
-def message_report_lemmas(spark, sf_dir):
-    """With lemmas and hashed terms."""
+def svc_search_check(spark, sf_dir):
+    """Grid points scored, whether the chosen one is the highest, inputs with a coefficient."""
+    run = _tuned(spark, sf_dir)
+    scores = models.grid_scores(spark, run.tuned)
+    names = models.coefficients(spark, run.tuned.bestModel.stages[-1], run.inputs)
+    best = scores.agg(F.max("f1")).scalar()
+    svc = run.tuned.bestModel.stages[-1]
+    points = run.tuned.getEstimatorParamMaps()
+    won = [all(svc.getOrDefault(p.name) == v for p, v in point.items()) for point in points].index(True)
+    chosen = float(run.tuned.avgMetrics[won])
+    inputs = names.agg(F.count_distinct("feature")).scalar()
+    return scores.agg(
+        F.count(F.lit(1)).alias("points"),
+        F.max(F.lit(chosen) == best).alias("best_is_highest"),
+        F.max(inputs).alias("inputs"),
+    )
+
+
+@query
+def message_report(spark, sf_dir):
+    """On words as they are."""
     return training.message_report(
-        cleaned(spark, sf_dir),
-        CATEGORY_NAMES,
-        SMALL_FOREST,
-        lemmatise=True,
-        features="hashing",
-        num_features=1 << 12,
+        cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST, lemmatise=False
     )
 
 
+@query
+def message_report_lemmas(spark, sf_dir):
+    return training.message_report(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+
+
 @query
 def message_grid(spark, sf_dir):
     _, scores = multilabel.grid_search(
@@ -684,6 +749,21 @@ def score_batch(spark, sf_dir):
     return messages.assigned_from_map(scored)
 
 
+@query
+def stream_check(spark, sf_dir):
+    """For every document: are the scores of the stream binary and those of the batch?"""
+    model = _message_model(spark, sf_dir)
+    flags = [multilabel.prediction_column(name) for name in CATEGORY_NAMES]
+    batch = model.score(views.messages(spark, sf_dir)).select("id", F.array(*flags).alias("batch"))
+    streamed = training.stream_scores(views.message_stream(spark, sf_dir), model)
+    joined = streamed.select("id", F.array(*flags).alias("streamed")).join(batch, "id")
+    return joined.select(
+        "id",
+        F.forall("streamed", lambda p: p.isin(0.0, 1.0)).alias("binary"),
+        (F.col("streamed") == F.col("batch")).alias("same"),
+    )
+
+
 @query
 def score_stream(spark, sf_dir):
     """The documents as a stream of messages, scored in micro-batches."""
