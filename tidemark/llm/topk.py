@@ -234,8 +234,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIV
     asked = stored(_blocks(_keyed(queries, centres, width, longest, False), chunk, width), "query-chunks")
     chunks = asked.select(F.col("block").alias("chunk"), F.col("pivot").alias("home"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
 
-    # First round: the annuli round a chunk's home pivot that lie nearest to its queries, or
-    # the first of all where that pivot has none.
+    # First round: the annulus round a chunk's home pivot that lies nearest to its queries. A
+    # chunk whose home has none starts without bounds and so meets all annuli.
     spans = index.select("block", "pivot", "lo", "hi")
     homes = asked.select(F.col("block").alias("chunk"), "pivot", F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"))
     gap = F.greatest(F.col("lo") - F.col("q_hi"), F.col("q_lo") - F.col("hi"), F.lit(0.0))
