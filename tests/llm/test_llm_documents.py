@@ -100,6 +100,16 @@ def test_shared_line_stays_once(spark):
     assert linespread.line_dedup(odd.none(spark)).count() == 0
 
 
+def test_line_dedup_of_one_document_that_repeats_a_common_line(spark):
+    many = 100_000
+    rows = [(k, "common\nown", s) for k, s in enumerate("abcde")] + [(9, "common\n" * many + "last", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in linespread.report(docs).collect()}
+    assert got[0] == (2, 0, "common\nown") and got[1] == (2, 2, "")
+    assert got[9] == (many + 1, many, "last")
+
+
+
 def test_every_band_of_the_sketch_agrees_with_exact_counts(spark):
     rows = [(i * 100 + s, f"line {i}\nown {i} {s}", f"site{s}") for i in range(30) for s in range(i + 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

@@ -35,7 +35,9 @@ def occurrences(docs: DataFrame, site: str = "source") -> DataFrame:
     site of its own.
     """
     named = F.when(F.col(site).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(site).cast("string")))
-    parts = docs.select("doc_id", text_key().alias("text_key"), named.alias("site"), F.posexplode(lines_of()).alias("pos", "value"))
+    # The digest is taken before the lines part, or each line would take it of the whole text.
+    whole = docs.select("doc_id", text_key().alias("text_key"), named.alias("site"), lines_of().alias("lines"))
+    parts = whole.select("doc_id", "text_key", "site", F.posexplode("lines").alias("pos", "value"))
     trimmed = F.regexp_replace("value", r"^[ \t\r]+|[ \t\r]+$", "")
     bare = parts.select("doc_id", "text_key", "site", "pos", trimmed.alias("value")).filter(F.length("value") > 0)
     return bare.select("doc_id", "text_key", "site", "pos", F.xxhash64("value").alias("line"))
@@ -81,11 +83,15 @@ def _cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(row, text, lines, removed) for every row; the text is null where it was null."""
     rows = docs.select("doc_id", text_key().alias("text_key"), F.struct("*").alias("row"))
     joined = rows.join(found, same_key(rows, found, ["doc_id", "text_key"]), "left")
-    lines, gone = F.split(F.coalesce("row.text", F.lit("")), "\n", -1), F.col("removed")
-    kept = F.filter(lines, lambda line, at: ~F.array_contains(gone, at))
+    joined = joined.select("row", "removed", F.split(F.coalesce("row.text", F.lit("")), "\n", -1).alias("lines"))
+    lines, gone = F.col("lines"), F.col("removed")
+    # A difference of sets takes time in proportion to the lines, however many go.
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     return joined.select(
         "row",
-        F.when(gone.isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(gone.isNull(), F.col("row.text"))
+        .otherwise(F.array_join(F.transform(kept, lambda at: F.get(lines, at)), "\n"))
+        .alias("text"),
         F.size(lines).cast("bigint").alias("lines"),
         F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("bigint").alias("removed"),
     )
