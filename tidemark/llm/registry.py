@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, subspaces, topk, transducer, urlfilter
+from tidemark.llm import (
+    boosting,
+    curriculum,
+    dac,
+    factorization,
+    hostrules,
+    linespread,
+    rotation,
+    simhash,
+    subspaces,
+    topk,
+    transducer,
+    tries,
+    urlfilter,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +31,9 @@ ORACLE: dict[str, str] = {
     "op3_embedding_near_dedup": subspaces.ORACLE,
     "op5_mixing_to_target_weights": curriculum.ORACLE,
     "op10_line_dedup": linespread.ORACLE,
+    "op11_host_rules": hostrules.ORACLE,
+    "op12_fill_in_middle": rotation.ORACLE,
+    "op13_filter_audit": tries.ORACLE,
 }
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,3 +98,18 @@ def op9_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linespread.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrules.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
