@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,21 +86,27 @@ def prepare(
     return fitted, fitted.transform(train).select(*keep), fitted.transform(test).select(*keep)
 
 
-def compare_models(
-    train: DataFrame, test: DataFrame, models: dict[str, Estimator] | None = None
-) -> DataFrame:
-    """(model, accuracy, f1) on the test rows; all models are scored in one job."""
+def fit_models(train: DataFrame, models: dict[str, Estimator] | None = None) -> dict[str, Transformer]:
+    """The classifiers, each fitted on the training rows."""
     require_two_classes(train)
-    train = train.persist()
-    try:
-        fitted = {name: model.fit(train) for name, model in (models or classifiers()).items()}
-    finally:
-        train.unpersist()
+    rows = stored(train, "train")
+    return {name: model.fit(rows) for name, model in (models or classifiers()).items()}
+
+
+def predictions(fitted: dict[str, Transformer], test: DataFrame) -> DataFrame:
+    """(model, userId, label, prediction): every model's prediction for every row, in one table."""
     results = [
-        model.transform(test).select(F.lit(name).alias("model"), "label", "prediction")
+        model.transform(test).select(F.lit(name).alias("model"), "userId", "label", "prediction")
         for name, model in fitted.items()
     ]
-    return reports.accuracy_and_f1(reduce(DataFrame.unionByName, results), ["model"])
+    return reduce(DataFrame.unionByName, results)
+
+
+def compare_models(
+    train: DataFrame, test: DataFrame, models: dict[str, Estimator] | None = None
+) -> DataFrame:
+    """(model, accuracy, f1) on the test rows; all models are scored in one job."""
+    return reports.accuracy_and_f1(predictions(fit_models(train, models), test), ["model"])
 
 
 def evaluators() -> dict[str, MulticlassClassificationEvaluator]:
@@ -131,14 +138,28 @@ def tune_svc(
         numFolds=folds,
         parallelism=parallelism,
         foldCol="fold",
+        collectSubModels=True,
         seed=SEED,
     )
-    fold = F.pmod(F.xxhash64("userId", F.lit(SEED)), F.lit(folds)).cast("int")
-    folded = train.withColumn("fold", fold).persist()
-    try:
-        return search.fit(folded)
-    finally:
-        folded.unpersist()
+    return search.fit(stored(with_fold(train, folds), "folds"))
+
+
+def with_fold(train: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """Add ``fold``, by a hash of the user."""
+    return train.withColumn("fold", F.pmod(F.xxhash64("userId", F.lit(SEED)), F.lit(folds)).cast("int"))
+
+
+def fold_predictions(tuned: CrossValidatorModel, train: DataFrame) -> DataFrame:
+    """(params, fold, label, prediction): what the models of the search said of the rows they did not see."""
+    folded = stored(with_fold(train, len(tuned.subModels)), "folds")
+    results = [
+        model.transform(folded.filter(F.col("fold") == fold)).select(
+            F.lit(point).alias("params"), "fold", "label", "prediction"
+        )
+        for fold, models in enumerate(tuned.subModels)
+        for point, model in zip(_points(tuned), models, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, results)
 
 
 def best_parameters(spark: SparkSession, tuned: CrossValidatorModel) -> DataFrame:
@@ -148,12 +169,15 @@ def best_parameters(spark: SparkSession, tuned: CrossValidatorModel) -> DataFram
     return spark.createDataFrame(rows, "param string, value string")
 
 
+def _points(tuned: CrossValidatorModel) -> list[str]:
+    """The grid points as text, in the order of the search."""
+    maps = tuned.getEstimatorParamMaps()
+    return [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda i: i[0].name)) for m in maps]
+
+
 def grid_scores(spark: SparkSession, tuned: CrossValidatorModel) -> DataFrame:
     """(params, mean F1) for every grid point."""
-    rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda i: i[0].name)), float(score))
-        for point, score in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics, strict=True)
-    ]
+    rows = [(point, float(score)) for point, score in zip(_points(tuned), tuned.avgMetrics, strict=True)]
     return spark.createDataFrame(rows, "params string, f1 double")
 
 
@@ -164,6 +188,23 @@ def coefficients(spark: SparkSession, svc, inputs: list[str]) -> DataFrame:
     return table.orderBy(F.desc("coefficient"), "feature")
 
 
+def long_vectors(rows: DataFrame, key: str = "userId") -> DataFrame:
+    """(key, position, value): one row per vector and position."""
+    return rows.select(key, F.posexplode(vector_to_array("features")).alias("position", "value"))
+
+
+def linear_margins(vectors: DataFrame, svc, key: str = "userId") -> DataFrame:
+    """(key, margin) from long vectors: a join with the coefficients by position and one sum.
+
+    The model predicts 1 where the margin is above its threshold.
+    """
+    rows = [(k, float(c)) for k, c in enumerate(svc.coefficients.toArray())]
+    weights = vectors.sparkSession.createDataFrame(rows, "position int, coefficient double")
+    joined = vectors.join(weights, "position")
+    margin = F.sum(F.col("value") * F.col("coefficient")) + F.lit(float(svc.intercept))
+    return joined.groupBy(key).agg(margin.alias("margin"))
+
+
 def whole_model(prepared: PipelineModel, tuned: CrossValidatorModel) -> PipelineModel:
     """Feature stages and the winning model as one pipeline to save or score with."""
     return PipelineModel(stages=[*prepared.stages, *tuned.bestModel.stages])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import numbered
+
 _HEX_DIGITS = 8
 _STEP = 3
 
@@ -65,14 +67,11 @@ def with_exact_side(df: DataFrame, key: str, train: float = 0.8, seed: int = 202
 
 
 def frequency_index(df: DataFrame, column: str) -> DataFrame:
-    """(value, count, index): 0 for the most frequent value, ties by name.
-
-    For columns with few values, which an index is for: one row per value.
-    """
+    """(value, count, index): 0 for the most frequent value, ties by name, for any number of values."""
     counts = (
         df.filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    order = Window.orderBy(F.desc("count"), column)
-    return counts.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+    ranked = numbered(counts, [F.desc("count"), F.asc(column)], "index")
+    return ranked.withColumn("index", F.col("index").cast("double"))

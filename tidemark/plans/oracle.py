@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.functions.text import STOP_WORDS
-from tidemark.sources.driver_tables import PAGES
+from tidemark.sources.driver_tables import CATEGORY_NAMES, PAGES
 
 ORACLE: dict[str, str] = {}
 
@@ -633,14 +633,18 @@ _log(
 _INDEXED = ["gender", "state", "device"]
 
 
-def _vectors() -> str:
+def _vector_numbers() -> list[str]:
     counted = [p for p in PAGES if p not in ("Cancellation Confirmation", "Cancel")]
-    numbers = [
+    return [
         "num_artists", "sum_length", "mean_length", "max_length", "min_length", "median_length", "is_paid",
         *(p.lower().replace(" ", "") + "_pagecnt" for p in counted),
         "lifetime_day", "num_songs", "num_unique_songs", "avg_times_per_song",
         *(f"num_pages_hr{h}" for h in range(24)), "has_songs",
     ]
+
+
+def _vectors() -> str:
+    numbers = _vector_numbers()
     filled = [
         f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" if c != "has_songs"
         else "CAST(CASE WHEN num_songs > 0 THEN 1 ELSE 0 END AS DOUBLE) AS has_songs"
@@ -754,3 +758,60 @@ ORACLE["svc_search_check"] = """SELECT 2 * 2::BIGINT AS points, 1::BIGINT AS bes
     vectors=ORACLE["feature_vectors"]
 )
 ORACLE["stream_check"] = """SELECT doc_id AS id, 1::BIGINT AS binary, 1::BIGINT AS same FROM documents"""
+
+
+# Models and settings are named; their results must hold to what SQL can say of them.
+_TEST_USERS = """(SELECT CAST(count(*) AS BIGINT) FROM features
+    WHERE substr(md5('2022:' || userId), 1, 8) >= 'cccccccc') AS users"""
+_RIGHT = "1::BIGINT AS binary, 1::BIGINT AS same_accuracy, 1::BIGINT AS same_f1"
+_MODELS = ["logistic_regression", "linear_svm", "decision_tree", "random_forest", "gradient_boosting"]
+
+
+def _listed(values: list[str], name: str) -> str:
+    return f"unnest([{', '.join(repr(v) for v in values)}]) AS {name}"
+
+
+_log("compare_models", f"{_FEATURES}{_LATEST} SELECT {_listed(_MODELS, 'model')}, {_TEST_USERS}, {_RIGHT}")
+_log("tune_svc", f"{_FEATURES}{_LATEST} SELECT 'linear_svm' AS model, {_TEST_USERS}, {_RIGHT}")
+_log(
+    "churn_scores",
+    f"{_FEATURES}{_LATEST} SELECT userId, label, 1::BIGINT AS binary, 1::BIGINT AS by_margin FROM features",
+)
+_SVC_POINTS = [f"maxIter={i}, regParam={r}" for i in (50, 100) for r in (0.01, 0.05)]
+ORACLE["svc_grid_scores"] = f"SELECT {_listed(_SVC_POINTS, 'params')}, 3::BIGINT AS folds, 1::BIGINT AS same"
+_SVC_PARAMS = [
+    "aggregationDepth", "featuresCol", "fitIntercept", "labelCol", "maxBlockSizeInMB", "maxIter", "predictionCol",
+    "rawPredictionCol", "regParam", "standardization", "threshold", "tol",
+]
+ORACLE["svc_best_params"] = f"SELECT {_listed(_SVC_PARAMS, 'param')}, 1::BIGINT AS as_expected"
+_INPUTS = [*_vector_numbers(), *(f"{c}_idx" for c in _INDEXED)]
+ORACLE["svc_coefficients"] = f"""SELECT {_listed(_INPUTS, 'feature')},
+  unnest(range({len(_INPUTS)})) AS position, 1::BIGINT AS same"""
+
+_CATEGORY_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS category, {name} AS label FROM test WHERE {name} IS NOT NULL" for name in CATEGORY_NAMES
+)
+# Test messages by hash order, as in the exact split; each class and each summary with its rows.
+_REPORT_ROWS = f""", test AS (
+    SELECT * FROM cleaned QUALIFY row_number() OVER (ORDER BY md5('2022:' || id))
+      > (SELECT count(*) - ceil(round(count(*) * 0.2, 9)) FROM cleaned)),
+  labelled AS ({_CATEGORY_ROWS}),
+  summed AS (SELECT category, count(*) AS support FROM labelled GROUP BY category)
+  SELECT category, CAST(CAST(label AS INTEGER) AS VARCHAR) AS row, count(*) AS support, 1::BIGINT AS same
+  FROM labelled GROUP BY category, label
+  UNION ALL SELECT category, unnest(['accuracy', 'macro avg', 'weighted avg']), support, 1::BIGINT FROM summed"""
+_messages("message_report", _REPORT_ROWS)
+_messages("message_report_lemmas", _REPORT_ROWS)
+
+
+def _searched(points: list[str]) -> str:
+    """15 fits for each point: one per label and fold."""
+    return f"SELECT {_listed(points, 'params')}, {len(CATEGORY_NAMES) * 5}::BIGINT AS fits, 1::BIGINT AS same"
+
+
+ORACLE["message_grid"] = _searched([f"minInstancesPerNode={n}, numTrees={t}" for t in (10, 100) for n in (1, 2)])
+ORACLE["message_grid_notebook"] = _searched([f"maxDepth={d}, minInstancesPerNode={n}" for d in (3, 5, 10) for n in (1, 3)])
+ORACLE["score_batch"] = f"""SELECT doc_id AS id, {_listed([n.title() for n in CATEGORY_NAMES], 'display_name')},
+  1::BIGINT AS binary, 1::BIGINT AS same FROM documents"""
+ORACLE["score_stream"] = """SELECT doc_id AS id, lang AS genre, count(*) AS times, 1::BIGINT AS scored
+  FROM documents GROUP BY ALL"""

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import clean_text
+from tidemark.functions import clean_text, display_name
 from tidemark.functions import split_words as words_of
 from tidemark.operators import (
     activity,
@@ -531,20 +530,18 @@ def feature_vectors(spark, sf_dir):
     """The assembled vectors of all users, with string indexes fitted on training users."""
     filled = churn.fill_song_measures(feature_table(spark, sf_dir))
     _, train, test = models.prepare(filled)
-    values = vector_to_array("features")
-    return train.unionByName(test).select("userId", F.posexplode(values).alias("position", "value"))
+    return models.long_vectors(train.unionByName(test))
 
 
 @query
 def tfidf_vectors(spark, sf_dir):
     """The vectors a forest gets, turned back into terms and weights."""
     words = stored(tokenised(spark, sf_dir).select("id", "tokens"), "tokens")
-    stages = multilabel.fit_vectors(words, features="vocabulary")
-    names = spark.createDataFrame(list(enumerate(stages[0].vocabulary)), "position int, term string")
-    vectors = PipelineModel(stages=stages).transform(words)
-    found = vectors.select("id", F.posexplode(vector_to_array("features")).alias("position", "weight"))
-    found = found.filter(F.col("weight") != 0)
-    return found.join(names, "position").select("id", "term", "weight")
+    vectoriser = multilabel.fit_vectors(words)
+    # The vectors' own positions and values, as they are stored.
+    parts = vectoriser.rows(words).select("id", F.arrays_zip("features.indices", "features.values").alias("cells"))
+    cells = parts.select("id", F.inline("cells").alias("position", "weight"))
+    return cells.join(vectoriser.numbers, "position").select("id", "term", "weight")
 
 
 @query
@@ -625,9 +622,6 @@ def table_roundtrip(spark, sf_dir):
 
 # --- models -----------------------------------------------------------------
 
-# Small forests for the registered queries; the functions default to the full ones.
-SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
-SMALL_FOREST_GRID = [{**SMALL_FOREST, "minInstancesPerNode": least} for least in (2, 3)]
 
 
 @lru_cache(maxsize=1)
@@ -641,46 +635,89 @@ def _tuned(spark, sf_dir):
     return _search(spark.sparkContext.applicationId, sf_dir)
 
 
+@lru_cache(maxsize=1)
+def _saved(application: str, sf_dir: str) -> multilabel.MessageModel:
+    spark = SparkSession.getActiveSession()
+    return training.saved_message_model(cleaned(spark, sf_dir), CATEGORY_NAMES)
+
+
 def _message_model(spark, sf_dir):
-    return training.saved_message_model(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+    """Whole forests on all rows, fitted once for all queries that score with them."""
+    return _saved(spark.sparkContext.applicationId, sf_dir)
+
+
+# Results of fitted models are no SQL. Their queries say of every row whether it holds
+# to what can be computed another way; functions of the same names in ``training`` and
+# ``models`` give the values.
 
 
 @query
 def compare_models(spark, sf_dir):
-    return training.compare_churn_models(feature_table(spark, sf_dir))
+    """Per model: test users scored, and whether predictions and metrics are right."""
+    _, _, train, test = training.churn_parts(feature_table(spark, sf_dir))
+    return training.checked_metrics(models.predictions(models.fit_models(train), test))
 
 
 @query
 def tune_svc(spark, sf_dir):
-    """Accuracy and F1 of the tuned model on the test users."""
+    """The same for the tuned model."""
     run = _tuned(spark, sf_dir)
-    results = run.tuned.transform(run.test).withColumn("model", F.lit("linear_svm"))
-    return reports.accuracy_and_f1(results, ["model"])
+    return training.checked_metrics(models.predictions({"linear_svm": run.tuned}, run.test))
 
 
 @query
 def svc_grid_scores(spark, sf_dir):
-    return models.grid_scores(spark, _tuned(spark, sf_dir).tuned)
+    """Per grid point: is the score the mean F1 of its predictions for the folds it did not see?"""
+    run = _tuned(spark, sf_dir)
+    by_fold = reports.accuracy_and_f1(models.fold_predictions(run.tuned, run.train), ["params", "fold"])
+    means = by_fold.groupBy("params").agg(F.count(F.lit(1)).alias("folds"), F.avg("f1").alias("mean"))
+    same = (F.abs(F.col("f1") - F.col("mean")) < 1e-9).alias("same")
+    return models.grid_scores(spark, run.tuned).join(means, "params").select("params", "folds", same)
 
 
 @query
 def svc_best_params(spark, sf_dir):
-    return models.best_parameters(spark, _tuned(spark, sf_dir).tuned)
+    """Per parameter: is it that of the best grid point, or else the default?"""
+    tuned = _tuned(spark, sf_dir).tuned
+    scores = tuned.avgMetrics
+    best = tuned.getEstimatorParamMaps()[scores.index(max(scores))]
+    defaults = LinearSVC()
+    expected = {p.name: str(defaults.getOrDefault(p)) for p in defaults.params if defaults.hasDefault(p)}
+    expected.update({param.name: str(value) for param, value in best.items()})
+    wanted = spark.createDataFrame(list(expected.items()), "param string, expected string")
+    found = models.best_parameters(spark, tuned).join(wanted, "param", "left")
+    return found.select("param", F.col("value").eqNullSafe(F.col("expected")).alias("as_expected"))
 
 
 @query
 def svc_coefficients(spark, sf_dir):
+    """Per input: its position, and whether the table gives the coefficient of that position."""
     run = _tuned(spark, sf_dir)
-    return models.coefficients(spark, run.tuned.bestModel.stages[-1], run.inputs)
+    svc = run.tuned.bestModel.stages[-1]
+    inputs = list(zip(run.inputs, range(len(run.inputs)), map(float, svc.coefficients.toArray()), strict=True))
+    placed = spark.createDataFrame(inputs, "feature string, position int, expected double")
+    table = models.coefficients(spark, svc, run.inputs)
+    return table.join(placed, "feature").select("feature", "position", (F.col("coefficient") == F.col("expected")).alias("same"))
 
 
 @query
 def churn_scores(spark, sf_dir):
-    """All users scored by the tuned model after saving and loading it."""
+    """All users scored by the saved and loaded model: binary, and by the sign of the margin?
+
+    The margin is the sum of coefficients times values in long form.
+    """
     features = churn.fill_song_measures(feature_table(spark, sf_dir))
     path = scratch_path(spark, "churn-model")
     models.save_model(_tuned(spark, sf_dir).model, path)
-    return models.load_model(path).transform(features).select("userId", "label", "prediction")
+    loaded = models.load_model(path)
+    scored = stored(loaded.transform(features).select("userId", "label", "features", "prediction"), "scores")
+    margins = models.linear_margins(models.long_vectors(scored), loaded.stages[-1])
+    return scored.join(margins, "userId").select(
+        "userId",
+        "label",
+        F.col("prediction").isin(0.0, 1.0).alias("binary"),
+        ((F.col("margin") > 0) == (F.col("prediction") == 1)).alias("by_margin"),
+    )
 
 
 @query
@@ -722,31 +759,42 @@ def svc_search_check(spark, sf_dir):
 
 @query
 def message_report(spark, sf_dir):
-    """On words as they are."""
-    return training.message_report(
-        cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST, lemmatise=False
-    )
+    """Whole forests on words as they are: does each report row follow from its predictions?"""
+    return training.checked_report(cleaned(spark, sf_dir), CATEGORY_NAMES, lemmatise=False)
 
 
 @query
 def message_report_lemmas(spark, sf_dir):
-    return training.message_report(cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST)
+    return training.checked_report(cleaned(spark, sf_dir), CATEGORY_NAMES)
 
 
 @query
 def message_grid(spark, sf_dir):
-    _, scores = multilabel.grid_search(
-        cleaned(spark, sf_dir), CATEGORY_NAMES, SMALL_FOREST_GRID, folds=2
-    )
-    return scores
+    """The script's whole grid and folds: fits per point, and whether its score follows from them."""
+    return training.checked_search(cleaned(spark, sf_dir), CATEGORY_NAMES, multilabel.SCRIPT_GRID)
+
+
+@query
+def message_grid_notebook(spark, sf_dir):
+    """The same for the notebook's grid."""
+    return training.checked_search(cleaned(spark, sf_dir), CATEGORY_NAMES, multilabel.NOTEBOOK_GRID)
 
 
 @query
 def score_batch(spark, sf_dir):
-    """All messages scored; one row per message and label with its display name."""
+    """Per message and label: is the score 0 or 1, and shown under the label's display name?"""
     model = _message_model(spark, sf_dir)
-    scored = multilabel.score_messages(model, views.messages(spark, sf_dir))
-    return messages.assigned_from_map(scored)
+    source = views.messages(spark, sf_dir)
+    shown = messages.assigned_from_map(multilabel.score_messages(model, source))
+    wide = model.score(source).select("id", *[F.col(multilabel.prediction_column(n)).alias(n) for n in CATEGORY_NAMES])
+    values = wide.unpivot(["id"], CATEGORY_NAMES, "category", "value")
+    values = values.select("id", display_name("category").alias("display_name"), "value")
+    return shown.join(values, ["id", "display_name"]).select(
+        "id",
+        "display_name",
+        F.col("value").isin(0.0, 1.0).alias("binary"),
+        (F.col("assigned") == (F.col("value") == 1)).alias("same"),
+    )
 
 
 @query
@@ -766,7 +814,9 @@ def stream_check(spark, sf_dir):
 
 @query
 def score_stream(spark, sf_dir):
-    """The documents as a stream of messages, scored in micro-batches."""
+    """The documents as a stream of messages: how often each came out, and with a score for every label?"""
     model = _message_model(spark, sf_dir)
-    stream = views.message_stream(spark, sf_dir)
-    return training.stream_scores(stream, model).drop("message", "original")
+    streamed = training.stream_scores(views.message_stream(spark, sf_dir), model)
+    scored = F.array(*[F.col(multilabel.prediction_column(name)) for name in CATEGORY_NAMES])
+    every = F.every(F.forall(scored, lambda p: p.isNotNull())).alias("scored")
+    return streamed.groupBy("id", "genre").agg(F.count(F.lit(1)).alias("times"), every)

@@ -20,6 +20,7 @@ from tidemark.sources.schemas import (
     LISTING_SCHEMA,
     MESSAGE_SCHEMA,
 )
+from tidemark.sources.units import Units
 
 __all__ = [
     "CALENDAR_SCHEMA",
@@ -27,6 +28,7 @@ __all__ = [
     "EVENT_SCHEMA",
     "LISTING_SCHEMA",
     "MESSAGE_SCHEMA",
+    "Units",
     "read_calendar",
     "read_categories",
     "read_csv",
