@@ -25,6 +25,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -130,11 +131,22 @@ class Codes:
         return values
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with room for ``size`` values and as many again."""
+    if size <= len(array):
+        return array
+    wider = np.empty(2 * size, array.dtype)
+    wider[: len(array)] = array
+    return wider
+
+
 class LibraryEncoder:
     """The ``tokenizers`` library over many texts, each distinct piece encoded once.
 
-    Pieces are encoded by the library as it would inside their text; a bounded number
-    of them is remembered between batches.
+    Pieces are encoded by the library as it would inside their text. The ids of all
+    known pieces lie in one array; a piece's number leads to where its ids begin and
+    how many there are. The first ``REMEMBERED`` pieces stay known, further ones are
+    dropped after the texts that brought them.
     """
 
     def __init__(self, path: str):
@@ -144,23 +156,40 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.specials = tuple(token.content for token in added)
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, int] = {}
+        self.size = 0
+        self.pool = np.empty(1 << 16, np.uint32)
+        self.begin = np.zeros(1 << 14, np.int64)
+
+    def _add(self, words: list[bytes]) -> None:
+        """Encode new pieces and put their ids behind the known ones."""
+        encoded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        fresh = [encoding.ids for encoding in encoded]
+        size, start = self.size, int(self.begin[self.size])
+        ends = start + np.cumsum([len(ids) for ids in fresh])
+        self.begin = _grown(self.begin, size + len(words) + 1)
+        self.begin[size + 1 : size + len(words) + 1] = ends
+        self.pool = _grown(self.pool, int(ends[-1]))
+        self.pool[start : ends[-1]] = np.fromiter(chain.from_iterable(fresh), np.uint32, int(ends[-1]) - start)
+        self.known.update(zip(words, range(size, size + len(words)), strict=True))
+        self.size += len(words)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): text i has ``ids[bounds[i]:bounds[i + 1]]``."""
         pieces = words.split(texts, self.specials)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         missing = [word for word in pieces.words if word not in self.known]
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in missing], add_special_tokens=False)
-        self.known.update((word, encoding.ids) for word, encoding in zip(missing, found, strict=True))
-        each = [self.known[word] for word in pieces.words]
-        counts = np.fromiter(map(len, each), np.int64, len(each))
-        pool = np.fromiter((i for ids in each for i in ids), np.uint32, int(counts.sum()))
-        begin, lengths = np.cumsum(counts) - counts, counts[pieces.codes]
+        if missing:
+            self._add(missing)
+        numbers = np.fromiter(map(self.known.__getitem__, pieces.words), np.int64, len(pieces.words))
+        if self.size > REMEMBERED:
+            for word in missing[REMEMBERED - self.size :]:
+                del self.known[word]
+            self.size = REMEMBERED
+        begin = self.begin[numbers][pieces.codes]
+        lengths = self.begin[numbers + 1][pieces.codes] - begin
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = pool[np.repeat(begin[pieces.codes] - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.pool[np.repeat(begin - (ends - lengths), lengths) + np.arange(total)]
         return ids, np.concatenate(([0], ends))[pieces.at]
 
 
@@ -204,7 +233,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 ["part", "shard", "doc_ids", "n_tokens", "codes"],
             )
 
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches):
             ids, bounds = library_encoder(path)(texts_of(batch))
             sizes = np.diff(bounds) + 1
             with_end = np.insert(ids, bounds[1:], end_id)
