@@ -84,7 +84,7 @@ def plain_links(vectors, threshold):
     return n, [find(i) for i in range(len(vectors))]
 
 
-@pytest.mark.parametrize("options", [{}, {"subspace": 2, "chunk": 8}, {"subspace": 5, "chunk": 3}])
+@pytest.mark.parametrize("options", [{}, {"subspace": 2, "group": 64}, {"subspace": 5, "group": 24, "sample": 40}])
 def test_embedding_links_against_all_pairs(spark, options):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(6, 8))
@@ -101,6 +101,73 @@ def test_embedding_links_against_all_pairs(spark, options):
     assert max(n) > 10
 
 
+def test_links_of_every_vector_length(spark):
+    rng = np.random.default_rng(5)
+    vectors = [rng.normal(size=3).tolist() for _ in range(5)]
+    vectors += [[1.0, 2.0], [1.0, 2.0], [2.0, 4.0], [2.0, -1.0], [5.0], [7.0], [-1.0], []]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in subspaces.near_duplicates(table, threshold=0.999).collect()}
+    assert [got[i] for i in (5, 6, 7, 8)] == [(2, 5), (2, 5), (2, 5), (0, 8)]
+    assert [got[i] for i in (9, 10, 11, 12)] == [(1, 9), (1, 9), (0, 11), (0, 12)]
+    assert all(got[i] == (0, i) for i in range(5))
+
+
+def test_planted_neighbours_among_many_wide_vectors(spark):
+    """20,000 vectors of width 64 in several groups, against all cosines."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(18_000, 64))
+    near = base[rng.integers(0, 18_000, 1500)] + rng.normal(size=(1500, 64)) * rng.choice([0.1, 0.3, 0.4], (1500, 1))
+    dense = base[0] + rng.normal(size=(500, 64)) * 0.2
+    x = np.concatenate([base, near, dense])[rng.permutation(20_000)].astype(np.float32).astype(np.float64)
+    units = x / np.sqrt((x * x).sum(1, keepdims=True))
+    n, links = np.zeros(len(x), int), []
+    for top in range(0, len(x), 2000):
+        i, j = np.nonzero(units[top : top + 2000] @ units.T >= 0.95)
+        i += top
+        n += np.bincount(i[i != j], minlength=len(x))
+        links += [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a < b]
+    root = list(range(len(x)))
+
+    def find(a):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    rows = subspaces.near_duplicates(table, group=1 << 18).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {i: (n[i], find(i)) for i in range(len(x))}
+    assert n.sum() > 200_000
+
+
+def test_blocks_that_are_left_out_hold_no_pair():
+    rng = np.random.default_rng(7)
+    y = np.concatenate([rng.normal(size=(3000, 4)) * 0.125, np.repeat(rng.normal(size=(1, 4)) * 0.125, 200, 0)])
+    z = rng.normal(size=(4000, 4)) * 0.125
+    budget = 0.1 / 16
+    for other in (None, z):
+        pairs, seen = [], 0
+        for i, j, compared in subspaces.range_join(y, other, budget):
+            seen += compared
+            pairs += [(min(a, b), max(a, b)) if other is None else (a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+        away = ((y[:, None] - (y if other is None else other)[None]) ** 2).sum(2)
+        want = {(a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(away <= budget)), strict=True) if other is not None or a < b}
+        assert len(pairs) == len(set(pairs)) and want <= set(pairs)
+        left, right = (len(subspaces.blocks(rows)[1]) for rows in (y, y if other is None else other))
+        assert 0 < seen < 0.5 * left * right
+
+
+def test_a_tree_deals_rows_into_even_leaves():
+    y = np.random.default_rng(8).normal(size=(4096, 6))
+    part, cut = subspaces.fit_tree(y)
+    sizes = np.bincount(subspaces.leaves(y, part, cut))
+    assert len(sizes) == 128 and sizes.min() == sizes.max() == 32
+    assert subspaces.leaves(y[:3], *subspaces.fit_tree(y[:3])).tolist() == [0, 0, 0]
+
+
 def test_embedding_links_of_odd_rows(spark):
     rows, table = odd_vectors(spark, np.random.default_rng(3))
     found = subspaces.near_duplicates(table)
