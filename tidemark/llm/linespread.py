@@ -69,14 +69,21 @@ def removals(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
     """(doc_id, text_key, removed): the positions of the lines that each affected document loses.
 
     The first occurrence of a line, by doc_id (no id last), text digest and
-    position, stays. Rows that repeat wholly have the same removals.
+    position, stays. Rows that repeat wholly have the same removals. Neither step
+    deals occurrences out by line, so a line that many documents hold is spread as
+    they are: the first is a minimum that tasks take of their own rows before they
+    meet, and what stays is taken out of what goes by document.
     """
     lines = stored(occurrences(docs, site), "lines")
     common = stored(boilerplate(lines, min_sites, lg_config), "boilerplate")
-    hits = lines.join(common, "line").select("line", F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "pos").alias("at"))
-    first = hits.groupBy("line").agg(F.min("at").alias("first"))
-    extra = hits.join(first, "line").filter(F.col("at") > F.col("first"))
-    return extra.groupBy(F.col("at.doc_id"), F.col("at.text_key")).agg(F.collect_set("at.pos").alias("removed"))
+    hits = stored(lines.join(common, "line", "left_semi").select("line", "doc_id", "text_key", "pos"), "boilerplate-lines")
+    first = hits.groupBy("line").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "pos")).alias("at"))
+    stay = first.select("at.doc_id", "at.text_key", F.lit(None).cast("int").alias("goes"), F.col("at.pos").alias("stays"))
+    every = hits.select("doc_id", "text_key", F.col("pos").alias("goes"), F.lit(None).cast("int").alias("stays"))
+    # Null positions aren't collected.
+    extra = F.array_except(F.collect_set("goes"), F.collect_set("stays"))
+    found = every.unionByName(stay).groupBy("doc_id", "text_key").agg(extra.alias("removed"))
+    return found.filter(F.size("removed") > 0)
 
 
 def _cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -116,7 +123,13 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES
 
 
 def report(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, lg_config: int = LG_CONFIG) -> DataFrame:
-    """(doc_id, n_lines, n_removed, text) of every row after the dedup."""
+    """(doc_id, n_lines, n_removed, text) of every row after the dedup.
+
+    A null text is one empty line and stays null; a null site is a site of its own, no
+    id comes after all ids. Rows that repeat, or share an id, are returned one by one.
+    An empty table gives an empty one; columns other than doc_id, text and the site
+    aren't read.
+    """
     cleaned = _cleaned(docs, removals(docs, site, min_sites, lg_config))
     return cleaned.select(
         F.col("row.doc_id").alias("doc_id"), F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), "text"
