@@ -58,6 +58,29 @@ def test_top_k_of_large_numbers_is_exact(spark):
     assert found[20, 2] == int(64 * 20e6) * int(64e6) + 224 * 16
 
 
+def test_top_k_refuses_numbers_beyond_64_bits(spark):
+    fine = [(0, [1e15, 1.0]), (1, [1.0, 1e10])]
+    table = spark.createDataFrame(fine, "vec_id bigint, embedding array<double>")
+    assert topk.every(table).first().score == 64 * 10**15 * 64 + 64 * 64 * 10**10
+    for row in ((2, [4.0, 2.0]), (2, [1e30, 0.0])):
+        table = spark.createDataFrame([*fine, row], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="64 bits"):
+            topk.every(table).collect()
+
+
+def test_top_k_with_many_ties(spark):
+    """Copies in many blocks: the smallest ids win, and later blocks return none that lose."""
+    rows = [(i, [1.0, float(i % 3)]) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    whole = {i: [64, 64 * (i % 3)] for i, _ in rows}
+    got = {}
+    for r in topk.every(table, k=5, pivots=3, annulus=9, chunk=4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for query in range(0, 400, 20):
+        scores = sorted((-sum(a * b for a, b in zip(whole[query], v, strict=True)), i) for i, v in whole.items() if i != query)
+        assert sorted(got[query]) == [(n, i, -s) for n, (s, i) in enumerate(scores[:5], 1)]
+
+
 def test_top_k_of_nothing(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert topk.every(table).count() == 0

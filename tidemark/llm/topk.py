@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -34,13 +35,26 @@ ANNULUS = 4096
 CHUNK = 1024
 # Whole numbers up to here are exact in floats and doubles, so a product may use them.
 EXACT_FLOAT, EXACT_DOUBLE = 1 << 24, 1 << 53
+# Scores from here on do not fit into 64 bits.
+FULL = 2.0**63
 
 
 def quantised(column: str = "embedding", scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component, x as double; null if the vector takes no part."""
+    """floor(scale * x) of each component, x as double; null if the vector takes no part.
+
+    A component that does not fit into 64 bits then is an error.
+    """
     vector = F.col(column)
     good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    whole = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))
+
+    def whole_number(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        # Beyond 64 bits, floor() would give the largest number there is.
+        return F.when(F.abs(scaled) < 2.0**63, F.floor(scaled)).otherwise(
+            F.raise_error(F.concat(F.lit("component too large for 64 bits: "), x.cast("string")))
+        ).cast("bigint")
+
+    whole = F.transform(vector, whole_number)
     return F.when(F.coalesce(good, F.lit(False)), whole)
 
 
@@ -157,27 +171,39 @@ def _blocks(keyed: DataFrame, rows: int, width: int) -> DataFrame:
 def _search(pairs: DataFrame, k: int, width: int) -> DataFrame:
     """(query_id, vec_id, score): the k best of each query in each pair of chunk and block.
 
-    ``pairs`` has q_ids, q_vectors, bounds (the least score worth returning, per
-    query, null if there is none), ids and vectors. Ties go to smaller vec_id.
+    ``pairs`` has q_ids, q_vectors, bounds and last (score and vec_id of a query's k-th
+    best so far, null if there is none: what ranks behind it isn't returned), ids and
+    vectors. Ties go to smaller vec_id. A score beyond 64 bits is an error.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                one = {name: batch.column(name)[at].values for name in ("q_ids", "bounds", "ids")}
+                one = {name: batch.column(name)[at].values for name in ("q_ids", "bounds", "last", "ids")}
                 q_ids, ids = one["q_ids"].to_numpy(), one["ids"].to_numpy()
                 left = _undense(batch.column("q_vectors")[at], len(q_ids), width)
                 right = _undense(batch.column("vectors")[at], len(ids), width)
-                bounds = one["bounds"].to_numpy(zero_copy_only=False).astype(np.float64)
                 most = float(np.abs(left.astype(np.float64)).max(initial=0)) * float(np.abs(right.astype(np.float64)).max(initial=0)) * width
                 kind = np.float32 if most < EXACT_FLOAT else np.float64 if most < EXACT_DOUBLE else np.int64
+                if most >= FULL:
+                    _refuse_overflow(left, right, q_ids[:, None] == ids[None, :])
+                # A bound that this kind rounds is above all scores that it is used for.
+                none = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
+                bounds = pc.fill_null(one["bounds"], np.iinfo(np.int64).min).to_numpy().astype(kind)
+                bounds[one["bounds"].is_null().to_numpy(zero_copy_only=False)] = none
+                unbound = bounds == none
+                last = pc.fill_null(one["last"], ids[:1].tolist()[0]).to_numpy(zero_copy_only=False)
                 order = np.argsort(ids, kind="stable")
                 ids, right = ids[order], right[order].astype(kind)
                 for first in range(0, len(q_ids), 256):
                     q = q_ids[first : first + 256]
                     score = left[first : first + 256].astype(kind) @ right.T
                     own = ids[None, :] == q[:, None]
-                    keep = ~own & ~(score < np.nan_to_num(bounds[first : first + 256], nan=-np.inf)[:, None])
+                    limit, behind = bounds[first : first + 256, None], last[first : first + 256, None]
+                    # Most blocks hold no tie, so ids are compared only where one is.
+                    keep = ~own & (score >= limit)
+                    ties = np.flatnonzero(((score == limit) & keep).any(1) & ~unbound[first : first + 256])
+                    keep[ties] &= (score[ties] > limit[ties]) | (ids[None, :] <= behind[ties])
                     for row in np.flatnonzero(keep.any(1)).tolist():
                         spot = np.flatnonzero(keep[row])
                         # Ids ascend, so a stable sort leaves ties in their order.
@@ -198,10 +224,18 @@ def _search(pairs: DataFrame, k: int, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
     kind = pairs.schema["ids"].dataType.elementType.simpleString()
-    chosen = pairs.select("q_ids", "q_vectors", "bounds", "ids", "vectors")
+    chosen = pairs.select("q_ids", "q_vectors", "bounds", "last", "ids", "vectors")
     return chosen.mapInArrow(run, f"query_id {kind}, vec_id {kind}, score bigint")
 
 
+def _refuse_overflow(left: np.ndarray, right: np.ndarray, own: np.ndarray) -> None:
+    """Sums of 64-bit products are right if the result fits, whatever happens on the way."""
+    for first in range(0, len(left), 256):
+        score = left[first : first + 256].astype(np.float64) @ right.astype(np.float64).T
+        if (np.abs(score[~own[first : first + 256]]) > FULL * (1 - 1e-9)).any():
+            raise OverflowError("an inner product does not fit into 64 bits")
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -242,12 +276,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIV
     near = homes.join(spans, "pivot").groupBy("chunk").agg(F.min(F.struct(gap.alias("gap"), "block")).alias("n"))
     first = stored(near.select("chunk", F.col("n.block").alias("block")), "first-pairs")
     no_bound = F.transform("q_ids", lambda _: F.lit(None).cast("bigint")).alias("bounds")
-    pairs = chunks.select("chunk", "q_ids", "q_vectors", no_bound).join(first, "chunk").join(index, "block")
-    found = stored(_best(_search(pairs, k, width), k).drop("rank"), "first-found")
+    no_last = F.transform("q_ids", lambda _: F.lit(None).cast(kind)).alias("last")
+    pairs = chunks.select("chunk", "q_ids", "q_vectors", no_bound, no_last).join(first, "chunk").join(index, "block")
+    found = stored(_best(_search(pairs, k, width), k), "first-found")
 
     # Second round. The k-th score so far bounds a query's distance: d^2 = q^2 + longest - 2 score.
-    kth = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    kth = kth.filter(F.col("n") >= k).select("query_id", "least")
+    kth = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"), F.col("vec_id").alias("last"))
 
     def reach(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,15 +301,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIV
                 )
 
     members = chunks.select("chunk", F.posexplode("q_ids").alias("pos", "query_id"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "least")))
-    limits = members.join(kth, "query_id", "left").groupBy("chunk").agg(F.transform(ordered, lambda x: x["least"]).alias("bounds"))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "least", "last")))
+    limits = members.join(kth, "query_id", "left").groupBy("chunk").agg(
+        F.transform(ordered, lambda x: x["least"]).alias("bounds"), F.transform(ordered, lambda x: x["last"]).alias("last")
+    )
     bounded = stored(chunks.join(limits, "chunk"), "bounded-chunks")
     ranges = bounded.select("chunk", "q_vectors", "bounds").mapInArrow(reach, "chunk bigint, pivot int, `from` double, `to` double")
     # An annulus is wanted if its distances meet the interval of any query of the chunk.
     wanted = ranges.join(spans, "pivot").filter((F.col("lo") <= F.col("to")) & (F.col("hi") >= F.col("from")))
     wanted = wanted.select("chunk", "block").join(first, ["chunk", "block"], "left_anti")
     pairs = wanted.join(bounded, "chunk").join(index, "block")
-    best = _best(found.unionByName(_search(pairs, k, width)), k)
+    best = _best(found.drop("rank").unionByName(_search(pairs, k, width)), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
