@@ -165,12 +165,21 @@ def with_score(docs: DataFrame, forest: Forest) -> DataFrame:
 
 def judged(docs: DataFrame, forest: Forest, folds: int = FOLDS, held_out: int = HELD_OUT,
            threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document; null texts count as empty."""
+    """(doc_id, held_out, score, predicted) of every document; null texts count as empty.
+
+    A row without an id is not held out, a score equal to the threshold is predicted 1.
+    Repeated rows stay; an empty table gives an empty one. Columns other than doc_id
+    and text aren't read.
+    """
     scored = with_score(docs.select("doc_id", "text"), forest).select("row.doc_id", "score")
     side = F.coalesce(remainder("doc_id", folds) == held_out, F.lit(False))
     return scored.select("doc_id", side.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold."""
+    """The rows of ``docs``, all columns, whose score reaches the threshold.
+
+    Null texts count as empty; repeated rows are judged alike, rows without an id like
+    others; an empty table gives an empty one.
+    """
     return with_score(docs, forest).filter(F.col("score") >= threshold).select("row.*")

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import stored
 
-MAX_ROUNDS = 64
-
 
 def _state(links: DataFrame) -> tuple:
     digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
@@ -43,14 +41,9 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     u, v = F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
     current = stored(links.select(u, v).filter("u > v").distinct(), "links")
     state = _state(current)
-    for _ in range(MAX_ROUNDS):
-        if not state[0]:
-            break
+    before = None
+    while state[0] and before != state:
         current = stored(_small_star(_large_star(current)), "links")
         before, state = state, _state(current)
-        if before == state:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     centres = current.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(centres)

@@ -207,7 +207,8 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     Columns: part, shard (place in the order), doc_ids, n_tokens (per document, with
     the end id), codes. Null texts count as empty, so every document has at least its
-    end id. No id comes first; rows that share an id stand in text order.
+    end id. No id comes first; rows that share an id stand in text order, rows that
+    repeat one after another. An empty table gives no shards. Other columns aren't read.
     """
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -260,7 +261,8 @@ def read(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files.
 
     ``start`` is the number of ids before the document. Sums run per part, a short
-    row each, then inside the part; the codes themselves are not shuffled.
+    row each, then inside the part; the codes themselves are not shuffled. Rows that
+    repeat have places of their own; no shards give no rows.
     """
     kind = files.schema["doc_ids"].dataType.elementType
 

@@ -189,7 +189,9 @@ def judged(docs: DataFrame, machine: Machine, folds: int = FOLDS, held_out: int
            threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document; null texts count as empty.
 
-    A row without an id is not held out. Repeated rows stay.
+    A row without an id is not held out, a score equal to the threshold is predicted 1.
+    Repeated rows stay; an empty table gives an empty one. Columns other than doc_id
+    and text aren't read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

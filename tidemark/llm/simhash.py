@@ -134,7 +134,8 @@ def grouped(docs: DataFrame, width: int = WIDTH, max_distance: int = MAX_DISTANC
     ``component_id`` is the smallest doc_id that links reach. Rows with equal
     fingerprints, texts without words among them, are one group from the start, so
     copies cost no links. Rows without an id take part and have the component of
-    the others; null if nobody there has an id. Repeated rows stay repeated.
+    the others; null if nobody there has an id. Repeated rows stay repeated. An empty
+    table gives an empty one.
     """
     prints = stored(with_fingerprint(docs, width), "fingerprints")
     distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct-prints")

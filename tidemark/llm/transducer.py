@@ -331,11 +331,13 @@ def encode(texts: list[str], vocab: Vocabulary, lexicon: Lexicon) -> tuple[np.nd
     unseen = [pieces.words[k] for k in rest.tolist()]
     known = number[number >= 0]
     fresh, begin_fresh, counts_fresh = merge_many([b"" if w in special else w for w in unseen], vocab)
-    # Ids of the lexicon, then those merged here, then special ones; each piece has a slice.
+    # Of the lexicon's ids those of the pieces here, then those merged here, then special ones.
     counts, begin = np.zeros(count, np.int64), np.zeros(count, np.int64)
-    counts[number >= 0], begin[number >= 0] = lexicon.offset[known + 1] - lexicon.offset[known], lexicon.offset[known]
-    counts[rest], begin[rest] = counts_fresh, len(lexicon.ids) + begin_fresh
-    pool = np.concatenate([lexicon.ids, fresh])
+    listed = lexicon.offset[known + 1] - lexicon.offset[known]
+    pool = take(lexicon.ids, lexicon.offset[known], listed)
+    counts[number >= 0], begin[number >= 0] = listed, np.cumsum(listed) - listed
+    counts[rest], begin[rest] = counts_fresh, len(pool) + begin_fresh
+    pool = np.concatenate([pool, fresh])
     for k, word in zip(rest.tolist(), unseen, strict=True):
         if word in special:
             begin[k], counts[k] = len(pool), 1
@@ -450,7 +452,8 @@ def with_ids(docs: DataFrame, path: str, name: str) -> DataFrame:
 def digests(docs: DataFrame, path: str, name: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document; null texts count as empty.
 
-    The text that is digested is decoded from the ids. Repeated rows stay.
+    The text that is digested is decoded from the ids. Repeated rows stay, a null
+    doc_id too; an empty table gives an empty one. Other columns aren't read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
