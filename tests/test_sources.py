@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import csv
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from helpers import rows_of
@@ -13,6 +16,8 @@ from tidemark.operators import ranking, split
 from tidemark.sources import MESSAGE_SCHEMA, Units, read_messages, read_table, write_csv
 from tidemark.sources.files import csv_records
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture
 def small_blocks(spark):
@@ -113,6 +118,22 @@ def test_a_folder_of_another_job_is_refused(spark, tmp_path):
         Units(spark, path, "two")
 
 
+def test_scratch_is_released_for_this_application_only(tmp_path):
+    """In a process of its own: the folder goes, with nothing beside it."""
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from tidemark.session import build_session, release_scratch
+from tidemark.sources import stored
+spark = build_session(master="local[1]", settings={{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path)!r}}})
+spark.range(3).write.parquet({str(tmp_path / "tidemark" / "other")!r})
+assert stored(spark.range(5), "some").count() == 5
+assert release_scratch(spark) and not release_scratch(spark)
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True)
+    assert [p.name for p in (tmp_path / "tidemark").iterdir()] == ["other"]
+
+
 # Numbers -------------------------------------------------------------------------------
 
 

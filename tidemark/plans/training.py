@@ -125,7 +125,7 @@ def checked_search(cleaned: DataFrame, names: list[str], grid: list[dict], folds
     """(params, fits, same): each point's finished fits, and its score against the predictions of those fits."""
     spark = cleaned.sparkSession
     work = scratch_path(spark, "search")
-    _, scores = multilabel.grid_search(cleaned, names, grid, folds, work=work)
+    _, scores = multilabel.grid_search(cleaned, names, grid, folds, parallelism=8, work=work)
     units = Units(spark, work)
     fits = [unit for unit in units.names() if unit.startswith("predictions/")]
     points = [", ".join(f"{k}={v}" for k, v in sorted(params.items())) for params in grid]

@@ -76,6 +76,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; never reused between calls."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in this application's part of the shared folder; never reused between calls."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has stored on the way; whether there was anything.
+
+    For the end of a job, when its results are written: tables that were returned and
+    not yet written read from there.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
