@@ -22,20 +22,30 @@ LETTER, NUMBER, SPACE, MARK = range(4)
 PACKED = 16
 
 
+# Code points are classed in blocks of so many bits, each when it first occurs.
+_BLOCK_BITS = 12
+
+
 @cache
-def classes() -> np.ndarray:
-    """The class of every code point, as the ``tokenizers`` library sees it.
+def _table() -> tuple[np.ndarray, np.ndarray]:
+    """(class of each code point, whether its block is classed)."""
+    return np.full(0x110000, MARK, np.uint8), np.zeros(0x110000 >> _BLOCK_BITS, bool)
+
 
-    The library splits all code points in order; each run is then told by its first
-    character. So the classes follow the library's version of Unicode.
+def _class_block(found: np.ndarray, block: int) -> None:
+    """Class a block of code points as the ``tokenizers`` library sees them.
+
+    The library splits them in order; each run is then told by its first character.
+    So the classes follow the library's version of Unicode.
     """
     splitter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-    found = np.full(0x110000, MARK, np.uint8)
-    for point in range(0x80):
+    points = np.arange(block << _BLOCK_BITS, (block + 1) << _BLOCK_BITS)
+    for point in points[points < 0x80].tolist():
         character = chr(point)
         found[point] = LETTER if character.isalpha() else NUMBER if character.isdigit() else MARK
-    found[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = SPACE
-    points = np.concatenate([np.arange(0x80, 0xD800), np.arange(0xE000, 0x110000)])
+    if block == 0:
+        found[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = SPACE
+    points = points[(points >= 0x80) & ((points < 0xD800) | (points >= 0xE000))]
     text = "".join(map(chr, points.tolist()))
     for _, (first, end) in splitter.pre_tokenize_str(text):
         which = SPACE
@@ -43,13 +53,22 @@ def classes() -> np.ndarray:
             if len(splitter.pre_tokenize_str(lead + text[first])) == 1:
                 which = kind
         found[points[first:end]] = which
-    return found
+
+
+def classes(points: np.ndarray) -> np.ndarray:
+    """The class of every code point in ``points``."""
+    found, known = _table()
+    blocks = np.bincount(points >> _BLOCK_BITS, minlength=len(known)) > 0
+    for block in np.flatnonzero(blocks & ~known).tolist():
+        _class_block(found, block)
+        known[block] = True
+    return found[points]
 
 
 def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """True at each character that starts a piece; ``ends`` are the ends of non-empty texts."""
     n = len(points)
-    kind = classes()[points]
+    kind = classes(points)
     first = np.zeros(n + 1, bool)
     first[0] = True
     first[ends] = True
