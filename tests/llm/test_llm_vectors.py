@@ -81,6 +81,31 @@ def test_top_k_with_many_ties(spark):
         assert sorted(got[query]) == [(n, i, -s) for n, (s, i) in enumerate(scores[:5], 1)]
 
 
+def test_expansion_stops_where_bounds_allow():
+    """Clustered vectors: far annuli are not compared, and nothing is lost."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16)) * 200
+    rows = np.floor(centres[np.repeat(np.arange(40), 50)] + rng.normal(size=(2000, 16)) * 3).astype(np.int64)
+    rows = np.floor(rows / np.sqrt((rows * rows).sum(1, keepdims=True)) * 800).astype(np.int64)
+    longest = float((rows * rows).sum(1).max())
+    pivots = np.hstack([rows[::50].astype(float), np.sqrt(longest - (rows[::50] ** 2).sum(1))[:, None]])
+    away = topk._distances(rows.astype(float), pivots, longest, True)
+    home = away.argmin(1)
+    queries = np.arange(0, 50, 5)
+    none = np.zeros(len(queries), np.int64)
+    search = topk.Expansion(queries, rows[queries], none, none, none.astype(bool), 5)
+    from_pivot = topk._distances(rows[queries].astype(float), pivots, longest, False)
+    blocks = [(p, away[home == p, p].min(), away[home == p, p].max()) for p in np.unique(home)]
+    for p, lo, hi in sorted(blocks, key=lambda b: np.maximum(from_pivot[:, b[0]] - b[2], b[1] - from_pivot[:, b[0]]).min()):
+        near = np.maximum(from_pivot[:, p] - hi, lo - from_pivot[:, p])
+        ids = np.flatnonzero(home == p)
+        search.visit(ids, rows[ids], np.flatnonzero(near <= search.radii(longest)))
+    assert search.compared < len(blocks) / 2
+    for at, query in enumerate(queries.tolist()):
+        scores = sorted((-int(rows[query] @ rows[i]), i) for i in range(len(rows)) if i != query)[:5]
+        assert list(zip((-search.best[at][0]).tolist(), search.best[at][1].tolist(), strict=True)) == scores
+
+
 def test_top_k_of_nothing(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert topk.every(table).count() == 0

@@ -7,9 +7,11 @@ its distance to it. In that order vectors are cut into annuli of at most
 
 By the triangle inequality a vector x of the annulus [lo, hi] round pivot p is at least
 ``max(d(q, p) - hi, lo - d(q, p))`` from query q. Queries come in chunks of near
-ones. A chunk first searches annuli round the pivots nearest to it, which gives every
-query a bound, the distance of its k-th best so far. It then expands to all annuli that
-the bound does not rule out, and stops there. Scores are integers, so they are exact.
+ones. A chunk first searches the annulus round its pivot that is nearest to it, which
+gives every query a bound, the distance of its k-th best so far. The annuli that the
+bounds do not rule out are dealt to visits of at most ``VISIT``. A visit expands
+from the nearest annulus outwards: each one that is searched tightens the bounds, and a
+query stops at annuli beyond its own. Scores are integers, so they are exact.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ PIVOTS = 64
 PIVOT_SAMPLE = 4096
 ANNULUS = 4096
 CHUNK = 1024
+# Annuli that a task visits one after another for a chunk of queries.
+VISIT = 32
 # Whole numbers up to here are exact in floats and doubles, so a product may use them.
 EXACT_FLOAT, EXACT_DOUBLE = 1 << 24, 1 << 53
 # Scores from here on do not fit into 64 bits.
@@ -168,74 +172,123 @@ def _blocks(keyed: DataFrame, rows: int, width: int) -> DataFrame:
     return ordered.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
 
 
-def _search(pairs: DataFrame, k: int, width: int) -> DataFrame:
-    """(query_id, vec_id, score): the k best of each query in each pair of chunk and block.
+def _refuse_overflow(left: np.ndarray, right: np.ndarray, own: np.ndarray) -> None:
+    """Sums of 64-bit products are right if the result fits, whatever happens on the way."""
+    score = left.astype(np.float64) @ right.astype(np.float64).T
+    if (np.abs(score[~own]) > FULL * (1 - 1e-9)).any():
+        raise OverflowError("an inner product does not fit into 64 bits")
+
+
+class Expansion:
+    """The ``k`` best of each query over blocks that come one after another.
 
-    ``pairs`` has q_ids, q_vectors, bounds and last (score and vec_id of a query's k-th
-    best so far, null if there is none: what ranks behind it isn't returned), ids and
-    vectors. Ties go to smaller vec_id. A score beyond 64 bits is an error.
+    ``bounds`` and ``last`` are score and vec_id of a query's k-th best known before,
+    ``bound`` is false where there is none: what ranks behind is not looked for. Each
+    block tightens the bound of the queries that it has better vectors for; a query
+    skips a block that the triangle inequality puts beyond its bound.
+    """
+
+    def __init__(self, q_ids: np.ndarray, left: np.ndarray, bounds: np.ndarray, last: np.ndarray, bound: np.ndarray, k: int):
+        self.q_ids, self.left, self.k = q_ids, left, k
+        self.bounds, self.last, self.bound = bounds.copy(), last.copy(), bound.copy()
+        self.best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.compared = 0
+
+    def radii(self, longest: float) -> np.ndarray:
+        """Distance of each query's k-th best; d^2 = q^2 + longest - 2 score."""
+        rows = self.left.astype(np.float64)
+        radius = np.sqrt(np.maximum(np.einsum("ij,ij->i", rows, rows) + longest - 2 * self.bounds.astype(np.float64), 0))
+        # A little more than rounding can take away.
+        return np.where(self.bound, radius * (1 + 1e-9) + 1e-6 * np.sqrt(longest + 1), np.inf)
+
+    def visit(self, ids: np.ndarray, right: np.ndarray, wanted: np.ndarray | None = None) -> None:
+        """Compare the queries, or the ``wanted`` ones, with a block; ids ascend."""
+        wanted = np.arange(len(self.q_ids)) if wanted is None else wanted
+        if not len(wanted):
+            return
+        self.compared += 1
+        most = float(np.abs(self.left.astype(np.float64)).max(initial=0)) * float(np.abs(right.astype(np.float64)).max(initial=0)) * right.shape[1]
+        kind = np.float32 if most < EXACT_FLOAT else np.float64 if most < EXACT_DOUBLE else np.int64
+        block = right.astype(kind)
+        for first in range(0, len(wanted), 256):
+            rows = wanted[first : first + 256]
+            own = ids[None, :] == self.q_ids[rows][:, None]
+            if most >= FULL:
+                _refuse_overflow(self.left[rows], right, own)
+            score = self.left[rows].astype(kind) @ block.T
+            # A bound that this kind rounds is above all scores that it is used for.
+            limit, bound = self.bounds[rows].astype(kind)[:, None], self.bound[rows][:, None]
+            keep = ~own & (~bound | (score >= limit))
+            # Most blocks hold no tie, so ids are compared only where one is.
+            ties = np.flatnonzero((bound & keep & (score == limit)).any(1))
+            keep[ties] &= (score[ties] > limit[ties]) | (ids[None, :] <= self.last[rows[ties]][:, None])
+            for at in np.flatnonzero(keep.any(1)).tolist():
+                spot = np.flatnonzero(keep[at])
+                # Ids ascend, so a stable sort leaves ties in their order.
+                spot = spot[np.argsort(-score[at, spot], kind="stable")[: self.k]]
+                self._merge(int(rows[at]), score[at, spot].astype(np.int64), ids[spot])
+
+    def _merge(self, row: int, score: np.ndarray, ids: np.ndarray) -> None:
+        if row in self.best:
+            score, ids = (np.concatenate(pair) for pair in zip(self.best[row], (score, ids), strict=True))
+            order = np.lexsort((ids, -score))[: self.k]
+            score, ids = score[order], ids[order]
+        self.best[row] = score, ids
+        if len(ids) == self.k:
+            self.bounds[row], self.last[row], self.bound[row] = score[-1], ids[-1], True
+
+    def found(self, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """(query_id, vec_id, score) of all queries, so many at a time."""
+        rows = list(self.best)
+        for first in range(0, len(rows), 512):
+            some = rows[first : first + 512]
+            queries = np.repeat(self.q_ids[some], [len(self.best[row][1]) for row in some])
+            ids, scores = (np.concatenate([self.best[row][part] for row in some]) for part in (1, 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(queries, kind), pa.array(ids, kind), pa.array(scores)], ["query_id", "vec_id", "score"]
+            )
+
+
+def _search(pairs: DataFrame, k: int, width: int, centres: np.ndarray, longest: float) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each query in the blocks of each visit.
+
+    ``pairs`` has visit, q_ids, q_vectors, bounds and last (score and vec_id of a query's
+    k-th best so far, null if there is none), pivot, lo, hi, ids and vectors. Rows of a
+    visit follow one another, near blocks first. Ties go to smaller vec_id. A score
+    beyond 64 bits is an error.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        visit, search, away = None, None, None
         for batch in batches:
             for at in range(batch.num_rows):
-                one = {name: batch.column(name)[at].values for name in ("q_ids", "bounds", "last", "ids")}
-                q_ids, ids = one["q_ids"].to_numpy(), one["ids"].to_numpy()
-                left = _undense(batch.column("q_vectors")[at], len(q_ids), width)
-                right = _undense(batch.column("vectors")[at], len(ids), width)
-                most = float(np.abs(left.astype(np.float64)).max(initial=0)) * float(np.abs(right.astype(np.float64)).max(initial=0)) * width
-                kind = np.float32 if most < EXACT_FLOAT else np.float64 if most < EXACT_DOUBLE else np.int64
-                if most >= FULL:
-                    _refuse_overflow(left, right, q_ids[:, None] == ids[None, :])
-                # A bound that this kind rounds is above all scores that it is used for.
-                none = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
-                bounds = pc.fill_null(one["bounds"], np.iinfo(np.int64).min).to_numpy().astype(kind)
-                bounds[one["bounds"].is_null().to_numpy(zero_copy_only=False)] = none
-                unbound = bounds == none
-                last = pc.fill_null(one["last"], ids[:1].tolist()[0]).to_numpy(zero_copy_only=False)
+                kind = batch.column("ids").type.value_type
+                if search is None or batch.column("visit")[at].as_py() != visit:
+                    if search is not None:
+                        yield from search.found(kind)
+                    visit = batch.column("visit")[at].as_py()
+                    q_ids = batch.column("q_ids")[at].values.to_numpy()
+                    left = _undense(batch.column("q_vectors")[at], len(q_ids), width)
+                    bounds, last = (batch.column(name)[at].values for name in ("bounds", "last"))
+                    bound = bounds.is_valid().to_numpy(zero_copy_only=False)
+                    search = Expansion(
+                        q_ids, left, pc.fill_null(bounds, 0).to_numpy(), np.where(bound, last.to_pandas(), q_ids), bound, k
+                    )
+                    away = _distances(left.astype(np.float64), centres, longest, False)
+                ids = batch.column("ids")[at].values.to_numpy()
+                pivot, lo, hi = (batch.column(name)[at].as_py() for name in ("pivot", "lo", "hi"))
+                nearest = np.maximum(away[:, pivot] - hi, lo - away[:, pivot])
+                wanted = np.flatnonzero(nearest <= search.radii(longest))
                 order = np.argsort(ids, kind="stable")
-                ids, right = ids[order], right[order].astype(kind)
-                for first in range(0, len(q_ids), 256):
-                    q = q_ids[first : first + 256]
-                    score = left[first : first + 256].astype(kind) @ right.T
-                    own = ids[None, :] == q[:, None]
-                    limit, behind = bounds[first : first + 256, None], last[first : first + 256, None]
-                    # Most blocks hold no tie, so ids are compared only where one is.
-                    keep = ~own & (score >= limit)
-                    ties = np.flatnonzero(((score == limit) & keep).any(1) & ~unbound[first : first + 256])
-                    keep[ties] &= (score[ties] > limit[ties]) | (ids[None, :] <= behind[ties])
-                    for row in np.flatnonzero(keep.any(1)).tolist():
-                        spot = np.flatnonzero(keep[row])
-                        # Ids ascend, so a stable sort leaves ties in their order.
-                        spot = spot[np.argsort(-score[row, spot], kind="stable")[:k]]
-                        found = score[row, spot].astype(np.int64)
-                        query = pa.array(np.full(len(spot), q[row]), one["q_ids"].type)
-                        held.append([query, pa.array(ids[spot], one["ids"].type), pa.array(found)])
-                    if len(held) > 512:
-                        yield flush()
-            if held:
-                yield flush()
-
-    held: list = []
-
-    def flush() -> pa.RecordBatch:
-        columns = [pa.concat_arrays([row[c] for row in held]) for c in range(3)]
-        held.clear()
-        return pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+                search.visit(ids[order], _undense(batch.column("vectors")[at], len(ids), width)[order], wanted)
+        if search is not None:
+            yield from search.found(kind)
 
     kind = pairs.schema["ids"].dataType.elementType.simpleString()
-    chosen = pairs.select("q_ids", "q_vectors", "bounds", "last", "ids", "vectors")
+    chosen = pairs.select("visit", "q_ids", "q_vectors", "bounds", "last", "pivot", "lo", "hi", "ids", "vectors")
     return chosen.mapInArrow(run, f"query_id {kind}, vec_id {kind}, score bigint")
 
 
-def _refuse_overflow(left: np.ndarray, right: np.ndarray, own: np.ndarray) -> None:
-    """Sums of 64-bit products are right if the result fits, whatever happens on the way."""
-    for first in range(0, len(left), 256):
-        score = left[first : first + 256].astype(np.float64) @ right.astype(np.float64).T
-        if (np.abs(score[~own[first : first + 256]]) > FULL * (1 - 1e-9)).any():
-            raise OverflowError("an inner product does not fit into 64 bits")
-
-
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -277,27 +330,31 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIV
     first = stored(near.select("chunk", F.col("n.block").alias("block")), "first-pairs")
     no_bound = F.transform("q_ids", lambda _: F.lit(None).cast("bigint")).alias("bounds")
     no_last = F.transform("q_ids", lambda _: F.lit(None).cast(kind)).alias("last")
-    pairs = chunks.select("chunk", "q_ids", "q_vectors", no_bound, no_last).join(first, "chunk").join(index, "block")
-    found = stored(_best(_search(pairs, k, width), k), "first-found")
+    pairs = chunks.select(F.col("chunk").cast("string").alias("visit"), "chunk", "q_ids", "q_vectors", no_bound, no_last)
+    pairs = pairs.join(first, "chunk").join(index, "block")
+    found = stored(_best(_search(pairs, k, width, centres, longest), k), "first-found")
 
-    # Second round. The k-th score so far bounds a query's distance: d^2 = q^2 + longest - 2 score.
+    # Second round, from the k-th score so far.
     kth = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"), F.col("vec_id").alias("last"))
 
     def reach(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                least = batch.column("bounds")[at].values.to_numpy(zero_copy_only=False).astype(np.float64)
-                rows = _undense(batch.column("q_vectors")[at], len(least), width).astype(np.float64)
-                away = _distances(rows, centres, longest, False)
-                squares = np.einsum("ij,ij->i", rows, rows)
-                radius = np.sqrt(np.maximum(squares + longest - 2 * np.nan_to_num(least, nan=-np.inf), 0))
-                # A little more than rounding can take away.
-                radius = radius * (1 + 1e-9) + 1e-6 * np.sqrt(longest + 1)
-                lo, hi = (away - radius[:, None]).min(0), (away + radius[:, None]).max(0)
+                least = batch.column("bounds")[at].values
+                rows = _undense(batch.column("q_vectors")[at], len(least), width)
+                bound = least.is_valid().to_numpy(zero_copy_only=False)
+                bounds = pc.fill_null(least, 0).to_numpy()
+                radius = Expansion(bounds, rows, bounds, bounds, bound, k).radii(longest)
+                away = _distances(rows.astype(np.float64), centres, longest, False)
                 size = len(centres)
+                columns = [(away - radius[:, None]).min(0), (away + radius[:, None]).max(0), away.min(0), away.max(0)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("chunk")[at].as_py()] * size, pa.int64()), pa.array(np.arange(size), pa.int32()), pa.array(lo), pa.array(hi)],
-                    ["chunk", "pivot", "from", "to"],
+                    [
+                        pa.array([batch.column("chunk")[at].as_py()] * size, pa.int64()),
+                        pa.array(np.arange(size), pa.int32()),
+                        *map(pa.array, columns),
+                    ],
+                    ["chunk", "pivot", "from", "to", "nearest", "farthest"],
                 )
 
     members = chunks.select("chunk", F.posexplode("q_ids").alias("pos", "query_id"))
@@ -306,12 +363,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIV
         F.transform(ordered, lambda x: x["least"]).alias("bounds"), F.transform(ordered, lambda x: x["last"]).alias("last")
     )
     bounded = stored(chunks.join(limits, "chunk"), "bounded-chunks")
-    ranges = bounded.select("chunk", "q_vectors", "bounds").mapInArrow(reach, "chunk bigint, pivot int, `from` double, `to` double")
+    ranges = bounded.select("chunk", "q_vectors", "bounds").mapInArrow(
+        reach, "chunk bigint, pivot int, `from` double, `to` double, nearest double, farthest double"
+    )
     # An annulus is wanted if its distances meet the interval of any query of the chunk.
     wanted = ranges.join(spans, "pivot").filter((F.col("lo") <= F.col("to")) & (F.col("hi") >= F.col("from")))
-    wanted = wanted.select("chunk", "block").join(first, ["chunk", "block"], "left_anti")
-    pairs = wanted.join(bounded, "chunk").join(index, "block")
-    best = _best(found.drop("rank").unionByName(_search(pairs, k, width)), k)
+    gap = F.greatest(F.col("nearest") - F.col("hi"), F.col("lo") - F.col("farthest"), F.lit(0.0)).alias("gap")
+    wanted = wanted.select("chunk", "block", gap).join(first, ["chunk", "block"], "left_anti")
+    # Visits of at most VISIT annuli each, every one with near and far ones: a short row per pair.
+    order = Window.partitionBy("chunk").orderBy("gap", "block")
+    parts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("chunk")) / VISIT)
+    dealt = wanted.select("*", F.pmod(F.row_number().over(order), parts).alias("part"))
+    dealt = dealt.select("chunk", "block", "gap", F.concat_ws(":", "chunk", "part").alias("visit"))
+    pairs = stored(dealt, "visits").join(bounded, "chunk").join(index, "block")
+    visits = pairs.repartition("visit").sortWithinPartitions("visit", "gap", "block")
+    best = _best(found.drop("rank").unionByName(_search(visits, k, width, centres, longest)), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
