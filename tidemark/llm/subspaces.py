@@ -36,7 +36,7 @@ from tidemark.sources import stored
 THRESHOLD = 0.95
 SUBSPACE = 4
 # Components of a group of vectors, and rows of a block inside it.
-GROUP, BLOCK = 1 << 21, 64
+GROUP, BLOCK = 1 << 20, 64
 # Vectors with the smallest hashes that the k-d trees are fitted on, and rows of a leaf among them.
 SAMPLE, LEAF = 8192, 32
 SEED = 11
@@ -132,7 +132,9 @@ def _groups(points: DataFrame, trees: dict[int, tuple[np.ndarray, np.ndarray]],
         place, f"width int, id {kind}, times bigint, x {vector}, leaf bigint, lead double"
     )
     keys = ["width", "leaf", "lead", "id"]
-    ordered = placed.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Each task cuts groups of its own, so there are as many tasks as full groups.
+    total = points.agg(F.sum("width")).first()[0] or 0
+    ordered = placed.repartitionByRange(*keys).sortWithinPartitions(*keys).coalesce(max(1, -(-total // size)))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
