@@ -16,6 +16,10 @@ def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+# 90 forests; ``oracle_check.py`` runs it, and ``message_grid`` stands for it here.
+LONG = {"message_grid_notebook"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LONG))
 def test_same_as_sql(spark, sf_dir, con, name):
     assert compare(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None
