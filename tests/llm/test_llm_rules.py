@@ -285,7 +285,8 @@ def test_a_trie_holds_the_texts_it_was_given():
         list(trie.add(k, "", 0, 1, text))
     first = {text: k for k, text in reversed(list(enumerate(texts)))}
     assert {(text, least) for least, _, _, _, text in trie.traverse()} == set(first.items())
-    assert trie.held <= sum(map(len, first))
+    # Every node but the root is counted, and every byte that texts do not share.
+    assert trie.held == sum(len(node.label) + tries.NODE_BYTES for node in _nodes(trie) if node is not trie.root)
     assert np.all([len(node.label) > 0 for node in _nodes(trie) if node is not trie.root])
 
 

@@ -33,8 +33,8 @@ from tidemark.sources import stored
 FILTERS = "ABCDE"
 A, B, C, D, E = (1 << k for k in range(5))
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
-# Bytes of text in a trie after which it is traversed and let go.
-HELD_BYTES = 16 << 20
+# Bytes that a trie holds after which it is traversed and let go, and those of a node beside its label.
+HELD_BYTES, NODE_BYTES = 32 << 20, 512
 # Bytes of the leading range key, and lengths of the prefixes hashed after it.
 LEAD, DEEPER = 8, (64, 512)
 
@@ -92,11 +92,12 @@ class Trie:
             edge = node.below.get(text[at])
             if edge is None:
                 edge = node.below[text[at]] = Node(text[at:])
-                self.held += len(edge.label)
+                self.held += len(edge.label) + NODE_BYTES
             elif not text.startswith(edge.label, at):
                 size = _common(edge.label, text, at)
                 upper = node.below[text[at]] = Node(edge.label[:size])
                 edge.label = edge.label[size:]
+                self.held += NODE_BYTES
                 upper.below[edge.label[0]] = edge
                 edge = upper
             node, at = edge, at + len(edge.label)
@@ -135,7 +136,7 @@ class _Rows:
     def put(self, *row) -> Iterator[pa.RecordBatch]:
         self.rows.append(row)
         self.size += 64 + (len(row[4]) if len(row) > 4 and row[4] else 0)
-        if self.size > HELD_BYTES // 4:
+        if self.size > HELD_BYTES // 8:
             yield from self.close()
 
     def close(self) -> Iterator[pa.RecordBatch]:
