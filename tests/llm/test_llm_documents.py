@@ -185,6 +185,17 @@ def test_targets_and_taken_words(spark):
     assert again == plan
 
 
+def test_targets_of_many_sources_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(curriculum, "BLOCK_BITS", 2)
+    rng = random.Random(8)
+    # A size of zero, and many ties of size over weight.
+    sizes = {f"host{i}": rng.choice([0, 1, 1, 2, 5, 40, 1000]) for i in range(150)} | {None: 700}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    found = {r.source: r.target for r in curriculum.targets(table.repartition(5)).collect()}
+    assert found == pytest.approx(water_levels(sizes))
+    assert sum(found.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
 def test_position_inverts_the_integrated_schedule(spark):
     rows = [(p / 10, s) for p in range(11) for s in (-0.5, 0.0, 0.5)]
     table = spark.createDataFrame(rows, "place double, slope double")
