@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(configure(spark), f"{sf_dir}/{name}.parquet")
 
 
+def shipped(spark: SparkSession, path: str) -> str:
+    """Hand a file to all executors; its name there, for ``SparkFiles.get``."""
+    spark.sparkContext.addFile(path)
+    return path.rpartition("/")[2]
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -43,7 +43,7 @@ from pyspark.sql.types import (
 from tokenizers import Tokenizer
 
 from tidemark.llm import words
-from tidemark.llm.common import slices, texts_of
+from tidemark.llm.common import shipped, slices, texts_of
 from tidemark.sources import stored
 
 CHUNK_BITS = 8
@@ -209,7 +209,9 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     the end id), codes. Null texts count as empty, so every document has at least its
     end id. No id comes first; rows that share an id stand in text order, rows that
     repeat one after another. An empty table gives no shards. Other columns aren't read.
+    Executors get the file at ``path`` from the driver.
     """
+    tokenizer = shipped(docs.sparkSession, path)
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     kind = _id_type(docs)
@@ -235,7 +237,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             )
 
         for batch in slices(batches):
-            ids, bounds = library_encoder(path)(texts_of(batch))
+            ids, bounds = library_encoder(SparkFiles.get(tokenizer))(texts_of(batch))
             sizes = np.diff(bounds) + 1
             with_end = np.insert(ids, bounds[1:], end_id)
             held.append((batch.column("doc_id").to_pylist(), sizes, with_end))

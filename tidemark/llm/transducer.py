@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import words
-from tidemark.llm.common import slices, texts_of, unpacked
+from tidemark.llm.common import shipped, slices, texts_of, unpacked
 from tidemark.session import scratch_path
 from tidemark.sources import stored
 
@@ -416,8 +416,12 @@ def publish(spark: SparkSession, block: bytes) -> str:
             stream.write(bytearray(block[at : at + (1 << 20)]))
     finally:
         stream.close()
-    spark.sparkContext.addFile(path)
-    return path.rpartition("/")[2]
+    return shipped(spark, path)
+
+
+def vocabulary_there(name: str) -> Vocabulary:
+    """The vocabulary of a tokenizer file that the session handed to this executor."""
+    return vocabulary(SparkFiles.get(name))
 
 
 def build(docs: DataFrame, path: str, size: int = LEXICON) -> str:
@@ -438,10 +442,11 @@ def _digests(ids: list[int], vocab: Vocabulary) -> tuple[str, str]:
 
 def with_ids(docs: DataFrame, path: str, name: str) -> DataFrame:
     """One row per document: ``row``, all input columns as a struct, and ``ids``."""
+    tokenizer = shipped(docs.sparkSession, path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(map(unpacked, batches)):
-            ids, bounds = encode(texts_of(batch), vocabulary(path), opened(name))
+            ids, bounds = encode(texts_of(batch), vocabulary_there(tokenizer), opened(name))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists], ["row", "ids"])
 
@@ -453,11 +458,13 @@ def digests(docs: DataFrame, path: str, name: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document; null texts count as empty.
 
     The text that is digested is decoded from the ids. Repeated rows stay, a null
-    doc_id too; an empty table gives an empty one. Other columns aren't read.
+    doc_id too; an empty table gives an empty one. Other columns aren't read. Executors
+    get the file at ``path`` from the driver.
     """
+    tokenizer = shipped(docs.sparkSession, path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
+        vocab = vocabulary_there(tokenizer)
         for batch in slices(batches):
             ids, bounds = encode(texts_of(batch), vocab, opened(name))
             each = [_digests(ids[a:b].tolist(), vocab) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
