@@ -133,3 +133,20 @@ def test_messages_that_share_an_id_keep_their_own_lemmas(spark):
     )
     got = rows_of(wording.lemmatised(terms.tokens(docs)), "id", "tokens")
     assert sorted(tokens for _, tokens in got) == [[], ["car", "road"], ["car", "stop"], ["road"], ["storm", "road"]]
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_list_digests_are_computed_once_per_list(spark):
+    lists = spark.createDataFrame([(1, ["cats", "cat", "cats"]), (2, []), (None, ["dogs"])], "id long, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "form string, lemma string")
+    assert sorted(r.term for r in terms.listed_terms(lists).collect()) == ["cat", "cats", "cats", "dogs"]
+    for df in (terms.listed_terms(lists), terms.lemmatise(lists, lemmas)):
+        plan = _optimized(df)
+        explode = next(i for i, line in enumerate(plan) if "Generate" in line)
+        assert not [line for line in plan[max(0, explode - 3) : explode] if "xxhash64(" in line]
+        assert "xxhash64(" in plan[explode + 1]
+    got = {r.id: r.tokens for r in terms.lemmatise(lists, lemmas).collect()}
+    assert got == {1: ["cat", "cat", "cat"], 2: [], None: ["dog"]}
