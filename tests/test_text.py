@@ -6,7 +6,7 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean_text, drop_stop_words, serving_words, split_words, training_words
-from tidemark.operators import terms
+from tidemark.operators import multilabel, terms
 from tidemark.plans import wording
 
 
@@ -150,3 +150,12 @@ def test_list_digests_are_computed_once_per_list(spark):
         assert "xxhash64(" in plan[explode + 1]
     got = {r.id: r.tokens for r in terms.lemmatise(lists, lemmas).collect()}
     assert got == {1: ["cat", "cat", "cat"], 2: [], None: ["dog"]}
+
+
+def test_norms_are_computed_once_per_vector(spark):
+    lists = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (None, ["b"])], "id long, tokens array<string>")
+    vectoriser = multilabel.fit_vectors(lists)
+    rows = multilabel.long_rows(vectoriser.rows(lists))
+    assert not [line for line in _optimized(rows) if "Filter" in line and "aggregate(" in line]
+    squares = rows.groupBy("id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s"), F.count("weight").alias("n"))
+    assert {r.id: (round(r.s, 9), r.n) for r in squares.collect()} == {1: (1.0, 2), None: (1.0, 1)}
