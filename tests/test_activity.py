@@ -221,3 +221,12 @@ def test_features_against_plain_counts_with_a_hot_user(spark, sf_dir):
         last = max(own, key=lambda r: (r.ts, r.event_id))
         assert (found.gender, found.state) == (last.gender, last.location[-2:])
     assert features.filter("userId = 'hot'").count() == 1
+
+
+@pytest.mark.parametrize("registration", [False, True])
+def test_users_of_the_log_do_not_go_through_the_driver(spark, sf_dir, registration):
+    log = views.activity_log(spark, sf_dir, registration=registration)
+    log.count()
+    joins = [line for line in log._jdf.queryExecution().executedPlan().toString().splitlines() if "user_id" in line and "Join" in line]
+    assert joins
+    assert not [line for line in joins if "Broadcast" in line]
