@@ -233,3 +233,18 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in found.collect()}
     want = {i: 0 for i in range(41)} | {100 + k: 100 for k in range(30)} | {205: 205, 207: 205}
     assert got == want
+
+
+def test_a_comparison_of_blocks_takes_few_bytes_a_pair():
+    import tracemalloc
+
+    draw = np.random.default_rng(4)
+    # The box of p holds all of q, but no row of p is near one.
+    p, q = draw.choice([-1.0, 1.0], (subspaces.BLOCK, 4)), draw.uniform(-0.5, 0.5, (1 << 15, 4))
+    tracemalloc.start()
+    try:
+        found = [len(i) for i, _, _ in subspaces.range_join(p, q, 0.01)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found and not sum(found) and peak < 10 * len(p) * len(q)

@@ -42,8 +42,8 @@ SAMPLE, LEAF = 8192, 32
 SEED = 11
 # Pairs looked at in one step.
 TILE = 1 << 15
-# Margin that keeps rounding from losing a pair.
-SLACK = 1e-6
+# Margin that keeps rounding from losing a pair, in doubles and in floats.
+SLACK, LOOSE = 1e-6, 1e-5
 # Components that candidates are compared in before whole vectors are.
 SOON = 16
 
@@ -218,16 +218,21 @@ def blocks(y: np.ndarray, rows: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
 def range_join(p: np.ndarray, q: np.ndarray | None, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Pairs of rows within squared distance ``budget``: (rows of p, rows of q, pairs of blocks compared).
 
-    Without ``q``, pairs of different rows of p, each once.
+    Without ``q``, pairs of different rows of p, each once. Distances are compared in
+    floats, so some pairs a little further apart are among them. Rows are parts of unit
+    vectors; longer ones would need a wider margin.
     """
     sides = [(rows, *blocks(rows)) for rows in ((p,) if q is None else (p, q))]
     boxes = []
     for rows, order, starts in sides:
         laid = rows[order]
-        boxes.append((laid, (laid * laid).sum(1), np.minimum.reduceat(laid, starts), np.maximum.reduceat(laid, starts)))
+        square, one = (laid * laid).sum(1), np.ones(len(laid))
+        # One product of these gives squared distances.
+        left, right = (np.column_stack(c).astype(np.float32) for c in ((-2 * laid, square, one), (laid, one, square)))
+        boxes.append((left, right, np.minimum.reduceat(laid, starts), np.maximum.reduceat(laid, starts)))
     order_p, starts_p = sides[0][1:]
     order_q, starts_q = sides[-1][1:]
-    (own, own_square, lo_p, hi_p), (other, other_square, lo_q, hi_q) = boxes[0], boxes[-1]
+    (own, _, lo_p, hi_p), (_, other, lo_q, hi_q) = boxes[0], boxes[-1]
     sizes = np.diff(np.append(starts_q, len(other)))
     for k, (start, end) in enumerate(zip(starts_p, np.append(starts_p[1:], len(own)), strict=True)):
         gap = np.maximum(np.maximum(lo_q - hi_p[k], lo_p[k] - hi_q), 0)
@@ -238,8 +243,8 @@ def range_join(p: np.ndarray, q: np.ndarray | None, budget: float) -> Iterator[t
         seen = int(close.sum())
         for first in range(0, len(spots), TILE):
             some = spots[first : first + TILE]
-            away = own_square[start:end, None] + other_square[some] - 2 * (own[start:end] @ other[some].T)
-            i, j = np.nonzero(away <= budget + SLACK)
+            away = own[start:end] @ other[some].T
+            i, j = np.divmod(np.flatnonzero(away <= np.float32(budget + LOOSE)), len(some))
             i, j = i + start, some[j]
             if q is None:
                 i, j = i[i < j], j[i < j]
@@ -249,7 +254,7 @@ def range_join(p: np.ndarray, q: np.ndarray | None, budget: float) -> Iterator[t
 
 def _square(y: np.ndarray, z: np.ndarray) -> np.ndarray:
     gap = y - z
-    return (gap * gap).sum(1)
+    return np.einsum("ij,ij->i", gap, gap)
 
 
 def links_of(x: np.ndarray, z: np.ndarray | None, threshold: float, subspace: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -262,11 +267,11 @@ def links_of(x: np.ndarray, z: np.ndarray | None, threshold: float, subspace: in
     for part, (cut, budget) in enumerate(zip(cuts, budgets, strict=True)):
         # A few more components, beginning with this subspace's, settle nearly all candidates.
         soon = np.arange(cut.start, cut.start + min(SOON, width)) % width
-        quick = [y[:, soon] for y in ys]
+        quick = [y[:, soon].astype(np.float32) for y in ys]
         for i, j, _ in range_join(ys[0][:, cut], None if z is None else ys[1][:, cut], budget):
             for tile in range(0, len(i), TILE):
                 a, b = i[tile : tile + TILE], j[tile : tile + TILE]
-                left = _square(quick[0][a], quick[-1][b]) <= most + SLACK
+                left = _square(quick[0][a], quick[-1][b]) <= most + LOOSE
                 a, b = a[left], b[left]
                 good = (units[0][a] * units[-1][b]).sum(1) >= threshold
                 a, b = a[good], b[good]
