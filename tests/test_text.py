@@ -126,6 +126,22 @@ def test_all_kinds_of_blank_part_words(spark):
     assert _one(spark, "a\u0085b\x1cc\x1fd e", clean_text) == "a b c d e"
 
 
+def test_terms_of_one_document_are_not_looked_up(spark, monkeypatch):
+    tables = {}
+
+    def stored(df, name):
+        tables[name] = df.collect()
+        return spark.createDataFrame(tables[name], df.schema)
+
+    monkeypatch.setattr(wording, "stored", stored)
+    docs = spark.createDataFrame([(1, "storm road road"), (2, "storm roof"), (None, "storm gate")], "id int, message string")
+    got = {(r.id, r.term): r.weight for r in wording.message_tfidf(terms.tokens(docs)).collect()}
+    assert [tuple(row) for row in tables["document-frequency"]] == [("storm", 3)]
+    rare = math.log(4 / 2) + 1
+    assert got[1, "road"] == pytest.approx(2 * rare / math.hypot(2 * rare, 1)) and len(got) == 6
+    assert got[None, "gate"] == pytest.approx(rare / math.hypot(rare, 1))
+
+
 def test_messages_that_share_an_id_keep_their_own_lemmas(spark):
     docs = spark.createDataFrame(
         [(1, "cars stop"), (1, "storm road"), (2, "car roads"), (None, "roads"), (3, "")],

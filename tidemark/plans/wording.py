@@ -9,6 +9,7 @@ knows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import terms
 from tidemark.sources import stored
@@ -30,5 +31,7 @@ def message_tfidf(tokenised: DataFrame, documents: DataFrame | None = None) -> D
     """TF-IDF weights of lemmas; ``documents`` may be a cheaper table with the same rows."""
     forms, lemmas = corpus_terms(tokenised)
     counts = stored(terms.lemma_counts(forms, lemmas), "lemma-counts")
-    frequencies = stored(terms.document_frequency(counts), "document-frequency")
-    return terms.tfidf(counts, tokenised if documents is None else documents, frequencies)
+    # Most terms of a large corpus are in one document; they need not be looked up.
+    shared = terms.document_frequency(counts).filter(F.col("df") > 1)
+    frequencies = stored(shared, "document-frequency")
+    return terms.tfidf(counts, tokenised if documents is None else documents, frequencies, others_once=True)
