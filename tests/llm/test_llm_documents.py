@@ -19,7 +19,7 @@ import odd  # noqa: E402
 import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from tidemark.llm import boosting, curriculum, dac, factorization, linespread, simhash, transducer, words  # noqa: E402
+from tidemark.llm import boosting, curriculum, dac, factorization, linespread, registry, simhash, transducer, words  # noqa: E402
 from tidemark.llm.registry import TOKENIZER  # noqa: E402
 
 PATH = public_tokenizers.path(TOKENIZER)
@@ -217,6 +217,23 @@ def test_training_order_of_odd_rows(spark):
     assert curriculum.plan_of(odd.none(spark)).count() == 0
 
 
+def test_accounts_are_those_of_the_mix_and_agree_with_the_plan(spark, monkeypatch, tmp_path):
+    rng = random.Random(11)
+    rows = [(i % 90, " ".join(["w"] * rng.randint(0, 9)), rng.choice(["a", "a", "b", None])) for i in range(200)]
+    rows += [*rows[:40], (None, "one two", "a"), (None, None, None), (7, "", "b"), (7, "three", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for table in (docs, odd.docs(spark), odd.none(spark)):
+        found, plan = (sorted(map(repr, made(table).collect())) for made in (curriculum.accounts, curriculum.plan_of))
+        assert found == plan
+    # The query tells what the copies hold: without those of one source nothing of it is taken.
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    whole, ordered = registry.QUERIES["op5_mixing_to_target_weights"](spark, str(tmp_path)).collect(), curriculum.in_order
+    monkeypatch.setattr(curriculum, "in_order", lambda *a, **o: ordered(*a, **o).filter("row.source = 'a'"))
+    part = registry.QUERIES["op5_mixing_to_target_weights"](spark, str(tmp_path)).collect()
+    assert len(whole) == len(part) == len(rows)
+    assert 0 < sum(r.taken for r in part) < sum(r.taken for r in whole)
+
+
 # Classifiers -----------------------------------------------------------------------
 
 
